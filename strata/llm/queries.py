@@ -6,10 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import quality
+from strata.llm import bpe, chat, quality
 from strata.llm.common import table
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], rows.schema)
+    return chat.format_conversations(rows.unionByName(extra), typed=False).select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -17,6 +28,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_chat_format": op2_chat_format,
+    "op3_bpe": op3_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
 
