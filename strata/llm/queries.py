@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat, decontaminate, langid, pii, quality, simhash, toxicity
+from strata.llm import bpe, chat, decontaminate, langid, pii, quality, simhash, suffixes, toxicity
 from strata.llm.common import table
 
 
@@ -32,6 +32,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return suffixes.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return langid.identify(docs, langid.train(docs))
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": op2_chat_format,
     "op3_bpe": op3_bpe,
     "op5_toxicity": op5_toxicity,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_language": op7_language,
     "op9_pii": op9_pii,
     "op8_simhash": op8_simhash,
