@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat, decontaminate, langid, pii, quality, simhash, suffixes, toxicity
+from strata.llm import bpe, chat, decontaminate, langid, linededup, pii, quality, simhash, suffixes, toxicity
 from strata.llm.common import table
 
 
@@ -27,6 +27,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_chat_format": op2_chat_format,
     "op3_bpe": op3_bpe,
+    "op4_line_dedup": op4_line_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_language": op7_language,
