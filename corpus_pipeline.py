@@ -1,18 +1,46 @@
-"""A corpus pipeline of five stages over `documents`; each stage takes the rows that the one before has kept."""
+"""A corpus pipeline of five stages over `documents`; each stage takes the rows that the one before has kept.
+
+All stages but the last return the columns of `documents`, the last one doc_id, n_tokens and digests of ids and decoded
+text. Line dedup changes texts (and n_chars with them); a document that it leaves without a line stays, empty.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import quality
+from strata.llm import bpe, decontaminate, linededup, quality, simhash
 from strata.llm.common import table
+from strata.llm.suffixes import stored
+
+#: Words of a shingle in the near-duplicate stage, and bits in which the fingerprints of one group may differ.
+NEAR_SHINGLE, NEAR_BITS = 5, 2
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.filter_documents(docs, table(spark, sf_dir, "labels"))
 
 
-STAGES = [("quality_rules", quality_rules)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = linededup.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return cut.select(*docs.columns)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs, NEAR_SHINGLE, NEAR_BITS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(docs)
+
+
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("simhash_near_dedup", simhash_near_dedup), ("decontamination", decontamination), ("bpe_encoding", bpe_encoding)]
 
 #: The trees of the first stage cannot be expressed in SQL; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
@@ -20,6 +48,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = stored(docs)
     return docs

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import checkpointed, flat, small_batches
+from strata.llm.common import checkpointed, flat, row_key, small_batches
 from strata.llm.graph import components
 
 SHINGLE, SEED, DISTANCE = 3, 42, 2
@@ -215,20 +215,22 @@ def links(fps: DataFrame, distance: int = DISTANCE, group_most: int = GROUP_MOST
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """All columns of docs, fp (long) and component_id, the smallest doc_id that links reach from the row."""
-    keep = [c for c in docs.columns if c not in ("fp", "component_id")]
-    docs = docs.select(*keep)
-    marked = checkpointed(fingerprints(docs.select("doc_id", "text"), shingle).select("doc_id", "fp"))
+    """doc_id, key (of doc_id and text), fp (long), root (a fingerprint that names the group) and component_id, the smallest
+    doc_id that links reach from the row; a row for each row of docs."""
+    keyed = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
+    marked = checkpointed(fingerprints(keyed, shingle).select("doc_id", "key", "fp"))
     fps = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(fps, distance))
     joined = fps.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = joined.join(named, "root").select("fp", "component_id")
-    return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = joined.join(named, "root").select("fp", "root", "component_id")
+    return marked.join(classes, "fp").select("doc_id", "key", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The rows of docs without those whose group has a smaller doc_id; of repeated rows one stays. A null doc_id stays."""
-    groups = near_groups(docs, shingle, distance)
-    later = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti").dropDuplicates()
+    """One row of docs for each group: the one with the smallest doc_id (a null one counts as smallest)."""
+    groups = near_groups(docs, shingle, distance).select("doc_id", "key", "root")
+    least = groups.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("stays"))
+    later = groups.join(least, "root").where(F.col("key") != F.col("stays.key")).select(F.col("key").alias("_key")).distinct()
+    keyed = docs.withColumn("_key", row_key(F.col("doc_id"), F.col("text")))
+    return keyed.join(later, "_key", "left_anti").dropDuplicates(["_key"]).select(*docs.columns)
