@@ -80,7 +80,8 @@ def parse_feeds(documents: DataFrame) -> DataFrame:
         names = [c.split()[0] for c in ENTRY.split(", ")]
         for pdf in parts:
             rows = [{"feed": f, "pos": k, **e} for f, d in zip(pdf["feed"], pdf["document"]) for k, e in enumerate(entries(d or ""))]
-            yield pd.DataFrame(rows, columns=names).astype({"pos": "int32"})
+            if rows:
+                yield pd.DataFrame({n: pd.Series([r.get(n) for r in rows], dtype="int32" if n == "pos" else object) for n in names})
 
     return documents.select("feed", "document").mapInPandas(run, ENTRY)
 
