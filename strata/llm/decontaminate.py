@@ -117,5 +117,5 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of docs in which no window of any item occurs."""
     bad = matches(docs, items, window).select("key").distinct()
-    keyed = docs.withColumn("_key", row_key(F.col("doc_id"), F.col("text")))
-    return keyed.join(bad.withColumnRenamed("key", "_key"), "_key", "left_anti").select(*docs.columns)
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), row_key(F.col("doc_id"), F.col("text")).alias("key"))
+    return keyed.join(bad, "key", "left_anti").select("row.*")

@@ -158,15 +158,17 @@ def later_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """The rows of docs with text cut to the lines that stay, and n_lines and n_removed (lines with a word)."""
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    keyed = docs.select(*keep, row_key(F.col("doc_id"), F.col("text")).alias("key"))
+    # the row travels as one column, so that no name of its own can clash
+    keyed = docs.select(F.struct(*keep).alias("row"), "doc_id", "text", row_key(F.col("doc_id"), F.col("text")).alias("key"))
     small = keyed.select("key", "doc_id", "text")
     firsts, gone = later_lines(small)
     marks = firsts.where("copies > 1").select("h", "first").join(gone.withColumn("gone", F.lit(True)), "h", "full")
     rows = lines(small).select("key", "doc_id", "at", "h").join(marks, "h")
     bad = rows.where(F.coalesce("gone", F.lit(False)) | (F.struct("doc_id", "at") != F.col("first"))).groupBy("key").agg(F.collect_set("at").alias("bad"))
-    out = keyed.join(bad, "key", "left")
-    parts = F.split("text", "\n")
+    out = keyed.select("row", "key").join(bad, "key", "left")
+    body = F.col("row.text")
+    parts = F.split(body, "\n")
     kept = F.filter(parts, lambda x, i: ~F.array_contains("bad", i))
     n = F.size(F.filter(parts, lambda x: F.trim(x) != ""))
-    text = F.when(F.col("bad").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return out.select(*[text.alias("text") if c == "text" else F.col(c) for c in keep], F.when(F.col("text").isNull(), 0).otherwise(n).cast("long").alias("n_lines"), F.coalesce(F.size("bad"), F.lit(0)).cast("long").alias("n_removed"))
+    text = F.when(F.col("bad").isNull(), body).otherwise(F.array_join(kept, "\n"))
+    return out.select(*[text.alias("text") if c == "text" else F.col(f"row.{c}") for c in keep], F.when(body.isNull(), 0).otherwise(n).cast("long").alias("n_lines"), F.coalesce(F.size("bad"), F.lit(0)).cast("long").alias("n_removed"))

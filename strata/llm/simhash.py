@@ -231,6 +231,6 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE)
     """One row of docs for each group: the one with the smallest doc_id (a null one counts as smallest)."""
     groups = near_groups(docs, shingle, distance).select("doc_id", "key", "root")
     least = groups.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("stays"))
-    later = groups.join(least, "root").where(F.col("key") != F.col("stays.key")).select(F.col("key").alias("_key")).distinct()
-    keyed = docs.withColumn("_key", row_key(F.col("doc_id"), F.col("text")))
-    return keyed.join(later, "_key", "left_anti").dropDuplicates(["_key"]).select(*docs.columns)
+    later = groups.select("key", "root").join(least, "root").where(F.col("key") != F.col("stays.key")).select("key").distinct()
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), row_key(F.col("doc_id"), F.col("text")).alias("key"))
+    return keyed.join(later, "key", "left_anti").dropDuplicates(["key"]).select("row.*")
