@@ -30,6 +30,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 NEAR = 7
 #: The sketch tracks so many tokens and reports so many; the error of its counts falls with the first.
 TRACKED, REPORTED = 1 << 16, 2048
+#: Cells of the table that gives a token's rarity class.
+CELLS = 1 << 16
 #: So many lines with the most copies are dealt out once.
 COPIED, COPIES = 4096, 64
 _BITS = 1 << 23
@@ -50,33 +52,30 @@ def _hash_at(words: Column, at: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*[F.get(words, at + k) for k in range(SHINGLE)]), 4)
 
 
-def tokens(words: Column, classes: list[list[int]]) -> Column:
-    """Distinct tokens in order: class of rarity in the bits from 60 on, hash below."""
-    plain = F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - SHINGLE, F.lit(0))), lambda at: _hash_at(words, at))
-    if any(classes):
-        # a set of literals is one hash lookup; most tokens are in none
-        every = _inset("t", [m for c in classes for m in c])
-        steps = " ".join(f"when {_inset('t', c)} then t + {(k + 1) << 60}L" for k, c in enumerate(classes) if c)
-        plain = F.call_function("transform", plain, F.expr(f"t -> case when {every} then case {steps} end else t end"))
-    return F.sort_array(F.array_distinct(plain))
+def tokens(words: Column, classes: Column | None = None) -> Column:
+    """Distinct tokens in order: class of rarity in the bits from 60 on (read from the table of cells), hash below."""
+    out = F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - SHINGLE, F.lit(0))), lambda at: _hash_at(words, at))
+    if classes is not None:
+        out = F.transform(out, lambda t: t + F.shiftleft(F.get(classes, t.bitwiseAND(F.lit(CELLS - 1)).cast("int")).cast("long"), 60))
+    return F.sort_array(F.array_distinct(out))
 
 
-def _inset(name: str, values: list[int]) -> str:
-    return f"{name} in ({', '.join(f'{v}L' for v in values)})"
-
-
-def frequent(rows: DataFrame, tracked: int = TRACKED, reported: int = REPORTED) -> list[list[int]]:
-    """Tokens that are frequent over all lines, in classes by counted size, smallest first."""
+def frequent(rows: DataFrame, tracked: int = TRACKED, reported: int = REPORTED) -> DataFrame:
+    """One row (one, classes): for each cell of hashes the rarity class of its most frequent token, 0 if the sketch over the
+    tokens of all lines reports none. A rare token that shares a cell only moves back in the order."""
     every = rows.select(_words(F.col("line")).alias("w")).select("w", F.posexplode("w").alias("at", "word")).where((F.col("at") == 0) | (F.col("at") <= F.size("w") - SHINGLE))
     top = every.select(_hash_at(F.col("w"), F.col("at")).alias("t")).agg(F.expr(f"approx_top_k(t, {reported}, {tracked})").alias("top")).first()["top"]
     found = sorted((x["count"], x["item"]) for x in top or [] if x["count"] >= 16)
-    quarter = max(1, -(-len(found) // 4))
-    return [[item for _, item in found[k * quarter : (k + 1) * quarter]] for k in range(4)]
+    cells = [0] * CELLS
+    for k, (_, item) in enumerate(found):
+        cells[item % CELLS] = 1 + 4 * k // len(found)  # a later, more frequent token of the cell wins
+    return rows.sparkSession.createDataFrame([(1, cells)], "one int, classes array<tinyint>")
 
 
-def _prefixes(rows: DataFrame, classes: list[list[int]]) -> DataFrame:
+def _prefixes(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """token, h, doc_id, at, n, i: the tokens that a similar line may share as its first one."""
-    own = rows.select("h", "doc_id", "at", tokens(_words(F.col("line")), classes).alias("t")).withColumn("n", F.size("t"))
+    rows = rows.withColumn("one", F.lit(1)).join(F.broadcast(classes), "one")  # one row of CELLS bytes
+    own = rows.select("h", "doc_id", "at", tokens(_words(F.col("line")), F.col("classes")).alias("t")).withColumn("n", F.size("t"))
     need = F.ceil(F.col("n") * SIMILARITY - 1e-9).cast("int")
     return own.select("h", "doc_id", "at", "n", F.posexplode(F.slice("t", F.lit(1), F.col("n") - need + 1)).alias("i", "token"))
 
@@ -87,13 +86,11 @@ def _possible(n: Column, i: Column, m: Column, j: Column) -> Column:
     return (F.least(n, m) >= F.greatest(n, m) * SIMILARITY - 1e-9) & (F.least(n - i, m - j) + F.least(i, j) >= overlap)
 
 
-def buckets(docs: DataFrame, classes: list[list[int]], copied: DataFrame | None, often: list[int]) -> DataFrame:
+def buckets(docs: DataFrame, classes: DataFrame, copied: DataFrame) -> DataFrame:
     """For each line in a bucket with others: token, h, doc_id, at, n, i, rank in the bucket, and partners to verify."""
     rows = lines(docs)
-    if copied is None:
-        p = _prefixes(rows, classes)
-    else:
-        p = _prefixes(rows.where(f"not ({_inset('h', often)})"), classes).unionByName(_prefixes(copied, classes))
+    once = rows.join(F.broadcast(copied.select("h")), "h", "left_anti")  # COPIED rows at most
+    p = _prefixes(once, classes).unionByName(_prefixes(copied, classes))
     # dealt by token alone; copies of a line then meet in its buckets and fall together there
     p = p.repartition("token").groupBy("token", "h").agg(F.min(F.struct("doc_id", "at")).alias("o"), F.min("n").alias("n"), F.min("i").alias("i"))
     w = Window.partitionBy("token").orderBy("o", "h")
@@ -110,26 +107,24 @@ def _bit(h: Column) -> Column:
     return F.pmod(F.xxhash64(h), F.lit(_BITS))
 
 
-def _bitmap(hashes: DataFrame) -> bytes:
-    """_BITS bits, one set for each hash: 1 MB whatever their number."""
-    rows = hashes.select(_bit(F.col("h")).alias("b")).groupBy(F.floor(F.col("b") / 32768).alias("k")).agg(F.expr("bitmap_construct_agg(b % 32768)").alias("m")).collect()
-    out = bytearray(_BITS // 8)
-    for r in rows:
-        out[r["k"] * 4096 : r["k"] * 4096 + 4096] = r["m"]
-    return bytes(out)
+def _bitmap(hashes: DataFrame) -> DataFrame:
+    """k, m: _BITS bits in maps of 4 kB, one bit set for each hash; 1 MB whatever their number."""
+    return hashes.select(_bit(F.col("h")).alias("b")).groupBy(F.floor(F.col("b") / 32768).alias("k")).agg(F.expr("bitmap_construct_agg(b % 32768)").alias("m"))
 
 
-def _in_bitmap(h: Column, bits: bytes) -> Column:
-    byte = F.conv(F.hex(F.substring(F.lit(bits), F.floor(_bit(h) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.call_function("shiftright", byte, (_bit(h) % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+def _in_bitmap(rows: DataFrame, maps: DataFrame) -> DataFrame:
+    bit = _bit(F.col("h")) % 32768
+    byte = F.conv(F.hex(F.substring("m", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.call_function("shiftright", byte, (bit % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return rows.withColumn("k", F.floor(_bit(F.col("h")) / 32768)).join(F.broadcast(maps), "k").where(is_set).drop("k", "m")
 
 
 def _similar(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The rows (h, g) of pairs whose lines are similar."""
     wanted = pairs.select("h").unionByName(pairs.select(F.col("g").alias("h"))).distinct()
     # the bitmap lets nearly all other lines fall out at the scan; the join settles the rest
-    near = lines(docs).where(_in_bitmap(F.col("h"), _bitmap(wanted))).select("h", "line").dropDuplicates(["h"])
-    sets = near.join(wanted, "h").select("h", tokens(_words(F.col("line")), []).alias("t"))
+    near = _in_bitmap(lines(docs).select("h", "line"), _bitmap(wanted)).dropDuplicates(["h"])
+    sets = near.join(wanted, "h").select("h", tokens(_words(F.col("line"))).alias("t"))
     both = pairs.join(sets, "h").join(sets.select(F.col("h").alias("g"), F.col("t").alias("u")), "g")
     shared = F.size(F.array_intersect("t", "u"))
     return both.where(shared >= (F.size("t") + F.size("u")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9).select("h", "g")
@@ -139,9 +134,9 @@ def later_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """For rows (key, doc_id, text): (h, first) of every line, and (h) of the lines that have an earlier similar line."""
     rows = lines(docs)
     firsts = stored(rows.groupBy("h").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("copies")))
-    often = [r["h"] for r in firsts.where(F.col("copies") >= COPIES).orderBy(F.desc("copies"), "h").limit(COPIED).select("h").collect()]
-    copied = stored(rows.where(_inset("h", often)).groupBy("h").agg(F.min(F.struct("doc_id", "at", "line")).alias("o")).select("h", "o.*")) if often else None
-    met = stored(buckets(docs, frequent(rows), copied, often).where("rank > 1"))
+    often = firsts.where(F.col("copies") >= COPIES).orderBy(F.desc("copies"), "h").limit(COPIED).select("h")
+    copied = stored(rows.join(F.broadcast(often), "h", "left_semi").groupBy("h").agg(F.min(F.struct("doc_id", "at", "line")).alias("o")).select("h", "o.*"))
+    met = stored(buckets(docs, frequent(rows), copied).where("rank > 1"))
     pairs = met.select("h", F.explode("partners").alias("g")).distinct()
     # all copies of a line share its buckets, so a bucket's order is that of first places: each partner is earlier
     gone = stored(_similar(docs, stored(pairs)).select("h").distinct())
