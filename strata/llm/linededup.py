@@ -75,7 +75,8 @@ def frequent(rows: DataFrame, tracked: int = TRACKED, reported: int = REPORTED)
 def _prefixes(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """token, h, doc_id, at, n, i: the tokens that a similar line may share as its first one."""
     rows = rows.withColumn("one", F.lit(1)).join(F.broadcast(classes), "one")  # one row of CELLS bytes
-    own = rows.select("h", "doc_id", "at", tokens(_words(F.col("line")), F.col("classes")).alias("t")).withColumn("n", F.size("t"))
+    rows = rows.select("h", "doc_id", "at", "classes", _words(F.col("line")).alias("w"))  # split once, not once a token
+    own = rows.select("h", "doc_id", "at", tokens(F.col("w"), F.col("classes")).alias("t")).withColumn("n", F.size("t"))
     need = F.ceil(F.col("n") * SIMILARITY - 1e-9).cast("int")
     return own.select("h", "doc_id", "at", "n", F.posexplode(F.slice("t", F.lit(1), F.col("n") - need + 1)).alias("i", "token"))
 
@@ -95,8 +96,9 @@ def buckets(docs: DataFrame, classes: DataFrame, copied: DataFrame) -> DataFrame
     p = p.repartition("token").groupBy("token", "h").agg(F.min(F.struct("doc_id", "at")).alias("o"), F.min("n").alias("n"), F.min("i").alias("i"))
     w = Window.partitionBy("token").orderBy("o", "h")
     me = F.struct("h", "n", "i")
+    # most lines are alone in their buckets and drop out before the frames are built
+    p = p.withColumn("size", F.count("*").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).where("size > 1")
     p = p.withColumn("rank", F.row_number().over(w)).withColumn("first", F.first(me).over(w))
-    # the size of the bucket is not needed: who is not the first has a partner
     before = F.collect_list(me).over(w.rowsBetween(-NEAR, -1))
     p = p.withColumn("others", F.array_distinct(F.concat(F.array("first"), before)))
     ok = F.filter("others", lambda x: (x["h"] != F.col("h")) & _possible(F.col("n"), F.col("i"), x["n"], x["i"]))
@@ -124,7 +126,7 @@ def _similar(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     wanted = pairs.select("h").unionByName(pairs.select(F.col("g").alias("h"))).distinct()
     # the bitmap lets nearly all other lines fall out at the scan; the join settles the rest
     near = _in_bitmap(lines(docs).select("h", "line"), _bitmap(wanted)).dropDuplicates(["h"])
-    sets = near.join(wanted, "h").select("h", tokens(_words(F.col("line"))).alias("t"))
+    sets = near.join(wanted, "h").select("h", _words(F.col("line")).alias("w")).select("h", tokens(F.col("w")).alias("t"))
     both = pairs.join(sets, "h").join(sets.select(F.col("h").alias("g"), F.col("t").alias("u")), "g")
     shared = F.size(F.array_intersect("t", "u"))
     return both.where(shared >= (F.size("t") + F.size("u")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9).select("h", "g")
