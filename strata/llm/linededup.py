@@ -27,7 +27,7 @@ from strata.llm.suffixes import stored
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Partners before a line that it meets in a bucket in the first round.
-NEAR = 7
+NEAR = 3
 #: The sketch tracks so many tokens and reports so many; the error of its counts falls with the first.
 TRACKED, REPORTED = 1 << 16, 2048
 #: Cells of the table that gives a token's rarity class.
@@ -81,10 +81,15 @@ def _prefixes(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return own.select("h", "doc_id", "at", "n", F.posexplode(F.slice("t", F.lit(1), F.col("n") - need + 1)).alias("i", "token"))
 
 
+def _overlap(n: Column, m: Column) -> Column:
+    """Tokens that similar lines of n and m tokens share at least."""
+    return F.ceil((n + m) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9)
+
+
 def _possible(n: Column, i: Column, m: Column, j: Column) -> Column:
-    """Length and position filters: the sizes are near enough, and what follows the shared token can still suffice."""
-    overlap = F.ceil((n + m) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9)
-    return (F.least(n, m) >= F.greatest(n, m) * SIMILARITY - 1e-9) & (F.least(n - i, m - j) + F.least(i, j) >= overlap)
+    """Length and position filters: the sizes are near enough, and if the token is the first that both have (as it is in
+    one of a similar pair's buckets), what follows in the shorter rest still suffices."""
+    return (F.least(n, m) >= F.greatest(n, m) * SIMILARITY - 1e-9) & (F.least(n - i, m - j) >= _overlap(n, m))
 
 
 def buckets(docs: DataFrame, classes: DataFrame, copied: DataFrame) -> DataFrame:
@@ -127,7 +132,14 @@ def _similar(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     # the bitmap lets nearly all other lines fall out at the scan; the join settles the rest
     near = _in_bitmap(lines(docs).select("h", "line"), _bitmap(wanted)).dropDuplicates(["h"])
     sets = near.join(wanted, "h").select("h", _words(F.col("line")).alias("w")).select("h", tokens(F.col("w")).alias("t"))
-    both = pairs.join(sets, "h").join(sets.select(F.col("h").alias("g"), F.col("t").alias("u")), "g")
+    # parities of token counts by the hash's last bits: lines that differ in few tokens differ in few bits
+    parity = F.aggregate("t", F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
+    sets = stored(sets.select("h", "t", F.size("t").alias("n"), parity.alias("bits")))
+    few = sets.select("h", "n", "bits")
+    other = few.select(F.col("h").alias("g"), F.col("n").alias("m"), F.col("bits").alias("other"))
+    differ = F.col("n") + F.col("m") - 2 * _overlap(F.col("n"), F.col("m"))
+    likely = pairs.join(few, "h").join(other, "g").where((differ >= 0) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("other"))) <= differ)).select("h", "g")
+    both = likely.join(sets.select("h", "t"), "h").join(sets.select(F.col("h").alias("g"), F.col("t").alias("u")), "g")
     shared = F.size(F.array_intersect("t", "u"))
     return both.where(shared >= (F.size("t") + F.size("u")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9).select("h", "g")
 

@@ -237,6 +237,7 @@ def stored(df: DataFrame) -> DataFrame:
         folder = f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
     path = f"{folder}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()  # finished shuffles are unreachable now; their files go when the driver notices
     return spark.read.schema(df.schema).parquet(path)
 
 
