@@ -76,4 +76,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_SPLIT = "list_filter(regexp_split_to_array(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+
+#: Trees, merges of a vocabulary, learned models, XXH64 and windows of all bytes are beyond SQL; tests hold those queries
+#: against brute force, a library, exact round trips or held-out labels.
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": f"""WITH d AS (SELECT doc_id, {_SPLIT} AS w FROM documents), b AS (SELECT item_id, {_SPLIT} AS w FROM benchmark),
+win AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, list_slice(w, s + 1, s + 10) AS x FROM (SELECT item_id, w, unnest(range(0, greatest(len(w) - 9, 1))) AS s FROM b WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT len(x) AS n FROM win), pos AS (SELECT doc_id, s, n, list_slice(w, s + 1, s + n) AS x FROM (SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS s FROM d, lens)),
+hit AS (SELECT doc_id, s, n, item FROM pos JOIN win USING (x)), cov AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS q FROM hit) GROUP BY 1), it AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS l FROM hit GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, CAST(COALESCE(len(l), 0) AS BIGINT) AS n_items, sha256(COALESCE(array_to_string(l, ','), '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    "op2_chat_format": """WITH c AS (SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+e AS (SELECT *, 24 + length(replace(replace(replace(role, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|'), chr(10), 'xx')) + length(replace(replace(text, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|')) AS size FROM c)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256, CAST(COALESCE(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+sha256(COALESCE(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, CAST(sum(size) AS BIGINT) AS formatted_chars FROM e GROUP BY 1""",
+    "op4_line_dedup": """WITH l AS (SELECT doc_id, unnest(p) AS line, generate_subscripts(p, 1) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)), k AS (SELECT * FROM l WHERE trim(line, ' ') <> ''),
+f AS (SELECT line, min((doc_id, pos)) AS o, string_split(line, ' ') AS w FROM k GROUP BY 1), t AS (SELECT line, o, list_distinct(list_transform(range(0, greatest(len(w) - 5, 0) + 1), lambda i: array_to_string(list_slice(w, i + 1, i + 5), ' '))) AS t FROM f),
+u AS (SELECT line, o, len(t) AS n, unnest(t) AS x FROM t), gone AS (SELECT DISTINCT line FROM (SELECT a.line, b.line AS other, a.n, b.n AS m, count(*) AS c FROM u a JOIN u b ON a.x = b.x AND b.o < a.o GROUP BY 1, 2, 3, 4) WHERE c * 1.8 >= 0.8 * (n + m) - 1e-9),
+z AS (SELECT l.*, trim(l.line, ' ') <> '' AS has, trim(l.line, ' ') <> '' AND (gone.line IS NOT NULL OR f.o <> (l.doc_id, l.pos)) AS bad FROM l LEFT JOIN f ON f.line = l.line LEFT JOIN gone ON gone.line = l.line)
+SELECT doc_id, CAST(count(*) FILTER (WHERE has) AS BIGINT) AS n_lines, CAST(count(*) FILTER (WHERE bad) AS BIGINT) AS n_removed, sha256(COALESCE(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT bad), '')) AS kept_sha256 FROM z GROUP BY 1""",
+}
