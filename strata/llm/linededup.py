@@ -73,12 +73,15 @@ def frequent(rows: DataFrame, tracked: int = TRACKED, reported: int = REPORTED)
 
 
 def _prefixes(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """token, h, doc_id, at, n, i: the tokens that a similar line may share as its first one."""
+    """token, h, doc_id, at, n, bits, i: the tokens that a similar line may share as its first one."""
     rows = rows.withColumn("one", F.lit(1)).join(F.broadcast(classes), "one")  # one row of CELLS bytes
     rows = rows.select("h", "doc_id", "at", "classes", _words(F.col("line")).alias("w"))  # split once, not once a token
     own = rows.select("h", "doc_id", "at", tokens(F.col("w"), F.col("classes")).alias("t")).withColumn("n", F.size("t"))
+    # parities of token counts by the hash's last bits: lines that differ in few tokens differ in few bits
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
+    own = own.withColumn("bits", F.aggregate("t", F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(bit(x))))
     need = F.ceil(F.col("n") * SIMILARITY - 1e-9).cast("int")
-    return own.select("h", "doc_id", "at", "n", F.posexplode(F.slice("t", F.lit(1), F.col("n") - need + 1)).alias("i", "token"))
+    return own.select("h", "doc_id", "at", "n", "bits", F.posexplode(F.slice("t", F.lit(1), F.col("n") - need + 1)).alias("i", "token"))
 
 
 def _overlap(n: Column, m: Column) -> Column:
@@ -86,28 +89,29 @@ def _overlap(n: Column, m: Column) -> Column:
     return F.ceil((n + m) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9)
 
 
-def _possible(n: Column, i: Column, m: Column, j: Column) -> Column:
-    """Length and position filters: the sizes are near enough, and if the token is the first that both have (as it is in
-    one of a similar pair's buckets), what follows in the shorter rest still suffices."""
-    return (F.least(n, m) >= F.greatest(n, m) * SIMILARITY - 1e-9) & (F.least(n - i, m - j) >= _overlap(n, m))
+def _possible(n: Column, i: Column, bits: Column, m: Column, j: Column, other: Column) -> Column:
+    """Length, position and parity filters: the sizes are near enough; if the token is the first that both have (as it is
+    in one of a similar pair's buckets), what follows in the shorter rest still suffices; no more bits differ than tokens may."""
+    need = _overlap(n, m)
+    return (F.least(n, m) >= F.greatest(n, m) * SIMILARITY - 1e-9) & (F.least(n - i, m - j) >= need) & (F.bit_count(bits.bitwiseXOR(other)) <= n + m - 2 * need)
 
 
 def buckets(docs: DataFrame, classes: DataFrame, copied: DataFrame) -> DataFrame:
-    """For each line in a bucket with others: token, h, doc_id, at, n, i, rank in the bucket, and partners to verify."""
+    """For each line in a bucket with others: token, h, its first place o, n, i, bits, rank in the bucket, and partners to verify."""
     rows = lines(docs)
     once = rows.join(F.broadcast(copied.select("h")), "h", "left_anti")  # COPIED rows at most
     p = _prefixes(once, classes).unionByName(_prefixes(copied, classes))
     # dealt by token alone; copies of a line then meet in its buckets and fall together there
-    p = p.repartition("token").groupBy("token", "h").agg(F.min(F.struct("doc_id", "at")).alias("o"), F.min("n").alias("n"), F.min("i").alias("i"))
+    p = p.repartition("token").groupBy("token", "h").agg(F.min(F.struct("doc_id", "at")).alias("o"), F.min("n").alias("n"), F.min("i").alias("i"), F.min("bits").alias("bits"))
     w = Window.partitionBy("token").orderBy("o", "h")
-    me = F.struct("h", "n", "i")
+    me = F.struct("h", "n", "i", "bits")
     # most lines are alone in their buckets and drop out before the frames are built
     p = p.withColumn("size", F.count("*").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).where("size > 1")
     p = p.withColumn("rank", F.row_number().over(w)).withColumn("first", F.first(me).over(w))
     before = F.collect_list(me).over(w.rowsBetween(-NEAR, -1))
     p = p.withColumn("others", F.array_distinct(F.concat(F.array("first"), before)))
-    ok = F.filter("others", lambda x: (x["h"] != F.col("h")) & _possible(F.col("n"), F.col("i"), x["n"], x["i"]))
-    return p.select("token", "h", "o", "n", "i", "rank", F.transform(ok, lambda x: x["h"]).alias("partners"))
+    ok = F.filter("others", lambda x: (x["h"] != F.col("h")) & _possible(F.col("n"), F.col("i"), F.col("bits"), x["n"], x["i"], x["bits"]))
+    return p.select("token", "h", "o", "n", "i", "bits", "rank", F.transform(ok, lambda x: x["h"]).alias("partners"))
 
 
 def _bit(h: Column) -> Column:
@@ -132,14 +136,8 @@ def _similar(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     # the bitmap lets nearly all other lines fall out at the scan; the join settles the rest
     near = _in_bitmap(lines(docs).select("h", "line"), _bitmap(wanted)).dropDuplicates(["h"])
     sets = near.join(wanted, "h").select("h", _words(F.col("line")).alias("w")).select("h", tokens(F.col("w")).alias("t"))
-    # parities of token counts by the hash's last bits: lines that differ in few tokens differ in few bits
-    parity = F.aggregate("t", F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
-    sets = stored(sets.select("h", "t", F.size("t").alias("n"), parity.alias("bits")))
-    few = sets.select("h", "n", "bits")
-    other = few.select(F.col("h").alias("g"), F.col("n").alias("m"), F.col("bits").alias("other"))
-    differ = F.col("n") + F.col("m") - 2 * _overlap(F.col("n"), F.col("m"))
-    likely = pairs.join(few, "h").join(other, "g").where((differ >= 0) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("other"))) <= differ)).select("h", "g")
-    both = likely.join(sets.select("h", "t"), "h").join(sets.select(F.col("h").alias("g"), F.col("t").alias("u")), "g")
+    sets = stored(sets)
+    both = pairs.join(sets, "h").join(sets.select(F.col("h").alias("g"), F.col("t").alias("u")), "g")
     shared = F.size(F.array_intersect("t", "u"))
     return both.where(shared >= (F.size("t") + F.size("u")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9).select("h", "g")
 
@@ -158,8 +156,8 @@ def later_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     if left.isEmpty():
         return firsts, gone
     # second round: all earlier lines of the bucket, for lines that have found none
-    full = met.select("token", F.col("h").alias("g"), F.col("o").alias("p"), F.col("n").alias("m"), F.col("i").alias("j"))
-    more = left.select("token", "h", "o", "n", "i").join(full, "token").where((F.col("p") < F.col("o")) & (F.col("g") != F.col("h")) & _possible(F.col("n"), F.col("i"), F.col("m"), F.col("j")))
+    full = met.select("token", F.col("h").alias("g"), F.col("o").alias("p"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("bits").alias("other"))
+    more = left.select("token", "h", "o", "n", "i", "bits").join(full, "token").where((F.col("p") < F.col("o")) & (F.col("g") != F.col("h")) & _possible(F.col("n"), F.col("i"), F.col("bits"), F.col("m"), F.col("j"), F.col("other")))
     rest = stored(more.select("h", "g").distinct().join(pairs, ["h", "g"], "left_anti"))
     return firsts, stored(gone.unionByName(_similar(docs, rest).select("h")).distinct())
 
