@@ -29,7 +29,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: Partners before a line that it meets in a bucket in the first round.
 NEAR = 3
 #: The sketch tracks so many tokens and reports so many; the error of its counts falls with the first.
-TRACKED, REPORTED = 1 << 16, 2048
+TRACKED, REPORTED = 1 << 18, 8192
 #: Cells of the table that gives a token's rarity class.
 CELLS = 1 << 16
 #: So many lines with the most copies are dealt out once.
