@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, decontaminate, linededup, quality, simhash
+from strata.llm import bpe, decontaminate, linededup, minhash, quality
 from strata.llm.common import table
 from strata.llm.suffixes import stored
 
-#: Words of a shingle in the near-duplicate stage, and bits in which the fingerprints of one group may differ.
-NEAR_SHINGLE, NEAR_BITS = 5, 2
+#: Words of a shingle in the near-duplicate stage, and the Jaccard similarity of shingles that links two documents.
+NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs, NEAR_SHINGLE, NEAR_BITS)
+    return minhash.keep_one(docs, NEAR_SHINGLE, NEAR_SIMILARITY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -229,7 +229,11 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row of docs for each group: the one with the smallest doc_id (a null one counts as smallest)."""
-    groups = near_groups(docs, shingle, distance).select("doc_id", "key", "root")
+    return keep_first(docs, near_groups(docs, shingle, distance).select("doc_id", "key", "root"))
+
+
+def keep_first(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of docs that come first in their group. groups: doc_id, key, root."""
     least = groups.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("stays"))
     later = groups.select("key", "root").join(least, "root").where(F.col("key") != F.col("stays.key")).select("key").distinct()
     keyed = docs.select(F.struct(*docs.columns).alias("row"), row_key(F.col("doc_id"), F.col("text")).alias("key"))
