@@ -75,11 +75,39 @@ def alignment(left: DataFrame, right: DataFrame) -> DataFrame:
     return both.select("topic", F.round((F.col("forth") + F.col("back")) / 2, 3).alias("alignment"))
 
 
-def label_clusters(labels: DataFrame, least: float = 0.80) -> DataFrame:
-    """label_id, cluster (its smallest label) by links of at least that cosine inside a topic. labels: topic, label_id, vector."""
-    a, b = labels.alias("a"), labels.alias("b")
-    near = a.join(b, (F.col("a.topic") == F.col("b.topic")) & (F.col("a.label_id") < F.col("b.label_id"))).where(1 - cosine_distance(F.col("a.vector"), F.col("b.vector")) >= least)
-    linked = components(near.select(F.col("a.label_id").alias("a"), F.col("b.label_id").alias("b")))
+def _forest(near: np.ndarray) -> np.ndarray:
+    """For each row the first row that links of the symmetric matrix reach."""
+    root, left = np.arange(len(near)), np.ones(len(near), bool)
+    for start in range(len(near)):
+        edge = np.array([start]) if left[start] else np.zeros(0, np.int64)
+        left[start] = False
+        while len(edge):
+            edge = np.flatnonzero(near[edge].any(axis=0) & left)
+            left[edge], root[edge] = False, start
+    return root
+
+
+def label_clusters(labels: DataFrame, least: float = 0.80, block: int = 1000) -> DataFrame:
+    """label_id, cluster (its smallest label) by links of at least that cosine inside a topic. labels: topic, label_id, vector.
+
+    A topic's labels are dealt to blocks of about `block`; each two blocks meet in one task, which reports a spanning forest
+    of its links, never all pairs. A zero vector has no links.
+    """
+    rows = labels.where("topic is not null and label_id is not null and vector is not null")
+    sizes = rows.groupBy("topic").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    dealt = rows.join(sizes, "topic").withColumn("own", F.pmod(F.xxhash64("label_id"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    met = dealt.select("*", other.alias("other")).select("topic", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "label_id", "vector")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, vectors = pdf["label_id"].to_numpy(), np.stack(pdf["vector"].to_numpy()).astype(np.float64)
+        size = np.linalg.norm(vectors, axis=1)
+        ids, vectors, size = ids[size > 0], vectors[size > 0], size[size > 0]
+        root = _forest(vectors @ vectors.T / (size[:, None] * size) >= least)
+        linked = root != np.arange(len(root))
+        return pd.DataFrame({"a": ids[root[linked]], "b": ids[linked]})
+
+    linked = components(met.groupBy("topic", "i", "j").applyInPandas(run, "a long, b long"))
     out = labels.select("topic", "label_id").join(linked, F.col("label_id") == F.col("item"), "left")
     return out.select("topic", "label_id", F.coalesce("component", "label_id").alias("cluster"))
 

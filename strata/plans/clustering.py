@@ -6,11 +6,11 @@ from strata.operators import components, grouping
 from strata.plans.registry import query, table
 
 
-@query("""WITH e AS (SELECT a.label AS topic, a.vec_id AS x, b.vec_id AS y FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id WHERE a.vec_id < 500 AND b.vec_id < 500 AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.25),
+@query("""WITH e AS (SELECT a.label AS topic, a.vec_id AS x, b.vec_id AS y FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.25),
 bi AS (SELECT x AS a, y AS b FROM e UNION SELECT y, x FROM e), reach AS (WITH RECURSIVE r(item, m) AS (SELECT a, a FROM bi UNION SELECT r.item, bi.b FROM r JOIN bi ON bi.a = r.m) SELECT item, min(m) AS cluster FROM r GROUP BY 1)
-SELECT CAST(label AS INTEGER) AS topic, vec_id AS label_id, COALESCE(cluster, vec_id) AS cluster FROM embeddings LEFT JOIN reach ON item = vec_id WHERE vec_id < 500""")
+SELECT CAST(label AS INTEGER) AS topic, vec_id AS label_id, COALESCE(cluster, vec_id) AS cluster FROM embeddings LEFT JOIN reach ON item = vec_id""")
 def label_clusters(spark, d):
-    e = table(spark, d, "embeddings").where("vec_id < 500").select(F.col("label").alias("topic"), F.col("vec_id").alias("label_id"), F.col("embedding").alias("vector"))
+    e = table(spark, d, "embeddings").select(F.col("label").alias("topic"), F.col("vec_id").alias("label_id"), F.col("embedding").alias("vector"))
     return grouping.label_clusters(e, 0.25)
 
 

@@ -51,3 +51,30 @@ def test_graph_components_take_all_orders(spark, tmp_path):
         want[c] += 1
     got = same_as_sql(spark, "graph_components", tmp_path, "lineitem")
     assert len(want) > 1 and {x["component"]: x["members"] for x in got} == want
+
+
+def test_label_clusters_take_all_vectors(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from strata.operators import grouping
+
+    r = random.Random(2)
+    rows = [(k, k % 3, [r.gauss(0, 1) for _ in range(12)]) for k in range(450, 650)]
+    save(spark, tmp_path, "embeddings", "vec_id long, label int, embedding array<float>", rows)
+    names = {x["label_id"]: x["cluster"] for x in same_as_sql(spark, "label_clusters", tmp_path, "embeddings")}
+    assert len(names) == 200
+    table = spark.read.parquet(f"{tmp_path}/embeddings.parquet")
+    labels = table.select(F.col("label").alias("topic"), F.col("vec_id").alias("label_id"), F.col("embedding").alias("vector"))
+    vectors = {x["vec_id"]: (x["label"], x["embedding"]) for x in table.collect()}
+
+    def cosine(x, y):
+        dot = lambda p, q: sum(a * b for a, b in zip(p, q))
+        return dot(x, y) / (dot(x, x) * dot(y, y)) ** 0.5
+
+    for least in (0.25, 0.6):
+        links = [(a, b) for a in vectors for b in vectors if a < b and vectors[a][0] == vectors[b][0] and cosine(vectors[a][1], vectors[b][1]) >= least]
+        want = groups(vectors, links)
+        if least == 0.25:
+            assert names == want
+        for block in (7, 1000):
+            assert {x["label_id"]: x["cluster"] for x in grouping.label_clusters(labels, least, block).collect()} == want
