@@ -61,11 +61,16 @@ def boilerplate_reasons(spark, d):
     return table(spark, d, "documents").select("doc_id", F.array_join(text.cleanup_reasons(_dressed()), ";").alias("reasons"))
 
 
-@query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND length(rtrim(left(text, 400), E' \\t\\n·-—,')) >= 100 THEN rtrim(left(text, 400), E' \\t\\n·-—,') WHEN doc_id % 3 = 0 THEN left(text, 400) || ' — 저작권자 (c) all rights reserved' ELSE left(text, 400) END AS body FROM documents WHERE NOT regexp_matches(left(text, 400), '(?i)copyright|rights reserved|©')""")
+_FOOT = "(?is)^(.*?)(?:" + text.FOOTER.removeprefix("(?i)") + ")"
+
+
+@query(f"""WITH b AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || ' — 저작권자 (c) all rights reserved' ELSE text END AS t FROM documents), s AS (SELECT *, CAST(floor(length(t) * 0.6::DOUBLE) AS INTEGER) AS st FROM b),
+c AS (SELECT *, CASE WHEN regexp_matches(substr(t, st + 1), '{_FOOT}') THEN st + length(regexp_extract(substr(t, st + 1), '{_FOOT}', 1)) END AS cut FROM s), e AS (SELECT *, greatest(cut - 150, 0) AS back FROM c),
+k AS (SELECT *, rtrim(left(t, CASE WHEN regexp_matches(substr(t, back + 1, cut - back), '{_FOOT}') THEN back + length(regexp_extract(substr(t, back + 1, cut - back), '{_FOOT}', 1)) ELSE cut END), E' \\t\\n·-—,') AS kept FROM e)
+SELECT doc_id, CASE WHEN cut IS NOT NULL AND length(kept) >= 100 THEN kept ELSE t END AS body FROM k""")
 def footer_strip(spark, d):
-    body = F.substring("text", 1, 400)
-    docs = table(spark, d, "documents").where(~body.rlike("(?i)copyright|rights reserved|©"))
-    return docs.select("doc_id", text.strip_footer(F.when(F.col("doc_id") % 3 == 0, F.concat(body, F.lit(" — 저작권자 (c) all rights reserved"))).otherwise(body)).alias("body"))
+    body = F.col("text")
+    return table(spark, d, "documents").select("doc_id", text.strip_footer(F.when(F.col("doc_id") % 3 == 0, F.concat(body, F.lit(" — 저작권자 (c) all rights reserved"))).otherwise(body)).alias("body"))
 
 
 @query("""SELECT c_custkey, array_to_string(list_filter(['Name: ' || c_name, CASE WHEN c_custkey % 2 = 0 THEN 'Segment: ' || lower(c_mktsegment) END], lambda x: x IS NOT NULL), chr(10)) AS block FROM customer""")

@@ -78,3 +78,26 @@ def test_label_clusters_take_all_vectors(spark, tmp_path):
             assert names == want
         for block in (7, 1000):
             assert {x["label_id"]: x["cluster"] for x in grouping.label_clusters(labels, least, block).collect()} == want
+
+
+def test_footer_strip_takes_whole_texts(spark, tmp_path):
+    import math
+    import re
+
+    from strata.functions import text
+
+    def strip(t):
+        m = re.compile(text.FOOTER).search(t, math.floor(len(t) * 0.6))
+        if not m:
+            return t
+        at = re.compile(text.FOOTER).search(t, max(0, m.start() - 150), m.start())
+        kept = t[: (at or m).start()].rstrip(" \t\n·-—,")
+        return kept if len(kept) >= 100 else t
+
+    long = "a plain sentence of the body. " * 60
+    texts = [long, long + "제보는 okjebo <저작권자(c) 연합뉴스, 재배포 금지>", "copyright law. " + long + "- Copyright ⓒ 서울신문 All\trights reserved", "© is a sign. " + long, long + "\nⓒ 매일신문", "short. all rights reserved", "", long[:450] + "기사 문의"]
+    rows = [(3 * k + 1, t) for k, t in enumerate(texts)] + [(3 * k, t) for k, t in enumerate(texts)]
+    save(spark, tmp_path, "documents", "doc_id long, text string", rows)
+    got = {x["doc_id"]: x["body"] for x in same_as_sql(spark, "footer_strip", tmp_path, "documents")}
+    assert got == {k: strip(t if k % 3 else t + " — 저작권자 (c) all rights reserved") for k, t in rows}
+    assert sum(got[k] != t for k, t in rows if k % 3) == 4
