@@ -101,3 +101,22 @@ def test_footer_strip_takes_whole_texts(spark, tmp_path):
     got = {x["doc_id"]: x["body"] for x in same_as_sql(spark, "footer_strip", tmp_path, "documents")}
     assert got == {k: strip(t if k % 3 else t + " — 저작권자 (c) all rights reserved") for k, t in rows}
     assert sum(got[k] != t for k, t in rows if k % 3) == 4
+
+
+def test_verdicts_take_all_orders(spark, tmp_path):
+    r = random.Random(3)
+    rows = [(k, r.randrange(1, 30)) for k in range(295, 330) for _ in range(4)]
+    save(spark, tmp_path, "lineitem", "l_orderkey long, l_partkey long", rows)
+    save(spark, tmp_path, "part", "p_partkey long", [(k,) for k in range(1, 30)])
+    want, members = set(), defaultdict(set)
+    for k, p in rows:
+        members[k].add(p)
+    for k, m in members.items():
+        if k % 4 < 2:
+            want |= {("cannot" if k % 4 == 1 and min(m) == a else "must", a, b) for a in m for b in m if a < b}
+    got = same_as_sql(spark, "verdict_pairs", tmp_path, "lineitem")
+    assert {(x["kind"], x["a"], x["b"]) for x in got} == want and len(got) == len(want)
+    counts = same_as_sql(spark, "verdict_counts", tmp_path, "lineitem")
+    assert sum(x["n"] for x in counts) == len(members)
+    merged = same_as_sql(spark, "merge_constraints", tmp_path, "lineitem", "part")
+    assert len(merged) == len({(a, b) for _, a, b in want} | {(k, k + 1) for k in range(1, 30)})
