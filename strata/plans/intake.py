@@ -116,9 +116,9 @@ def round_robin_quota(spark, d):
 
 
 @query("""SELECT event_id, 'dummy-' || CAST(event_id AS VARCHAR) || '-' || CAST(i AS VARCHAR) AS guid, ts + i * INTERVAL 3 HOUR AS published_at, ['p1', 'p2', 'p3'][i % 3 + 1] AS publisher, ['진보', '중도'][i % 2 + 1] AS bias
-FROM (SELECT event_id, ts, unnest(range(event_id % 4)) AS i FROM events WHERE event_id < 400)""")
+FROM (SELECT event_id, ts, unnest(range(event_id % 4)) AS i FROM events)""")
 def dummy_generator(spark, d):
-    e = table(spark, d, "events").where("event_id < 400").select("event_id", F.col("ts").alias("base_date"), (F.col("event_id") % 4).cast("int").alias("num_articles"), F.array(*map(F.lit, ("p1", "p2", "p3"))).alias("publishers"), F.array(F.lit("진보"), F.lit("중도")).alias("biases"))
+    e = table(spark, d, "events").select("event_id", F.col("ts").alias("base_date"), (F.col("event_id") % 4).cast("int").alias("num_articles"), F.array(*map(F.lit, ("p1", "p2", "p3"))).alias("publishers"), F.array(F.lit("진보"), F.lit("중도")).alias("biases"))
     return ingest.dummy_articles(e)
 
 
@@ -269,9 +269,9 @@ def exists_filter(spark, d):
     return o.join(l, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").groupBy(F.col("o_orderpriority").alias("title")).agg(F.count("*").alias("copies")).where("copies >= 2")
 
 
-@query("""SELECT c_custkey AS topic_id, CAST(count(*) AS BIGINT) AS members FROM customer JOIN orders ON o_custkey = c_custkey OR o_custkey = -c_custkey WHERE c_custkey <= 100 GROUP BY 1""")
+@query("""SELECT c_custkey AS topic_id, CAST(count(*) AS BIGINT) AS members FROM customer JOIN orders ON o_custkey = c_custkey OR o_custkey = -c_custkey GROUP BY 1""")
 def or_join_as_equi(spark, d):
     """A child hangs on its parent or is the parent itself: one equi-join on the parent's id, else its own."""
-    c, o = table(spark, d, "customer").where("c_custkey <= 100"), table(spark, d, "orders")
+    c, o = table(spark, d, "customer"), table(spark, d, "orders")
     rows = o.select(F.abs("o_custkey").alias("k"))
     return c.join(rows, F.col("c_custkey") == F.col("k")).groupBy(F.col("c_custkey").alias("topic_id")).agg(F.count("*").alias("members"))

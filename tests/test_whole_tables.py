@@ -120,3 +120,15 @@ def test_verdicts_take_all_orders(spark, tmp_path):
     assert sum(x["n"] for x in counts) == len(members)
     merged = same_as_sql(spark, "merge_constraints", tmp_path, "lineitem", "part")
     assert len(merged) == len({(a, b) for _, a, b in want} | {(k, k + 1) for k in range(1, 30)})
+
+
+def test_dummies_and_or_join_take_all_rows(spark, tmp_path):
+    from datetime import datetime
+
+    save(spark, tmp_path, "events", "event_id long, ts timestamp_ntz", [(k, datetime(2024, 1, 1)) for k in range(390, 420)])
+    got = same_as_sql(spark, "dummy_generator", tmp_path, "events")
+    assert len(got) == sum(k % 4 for k in range(390, 420))
+    save(spark, tmp_path, "customer", "c_custkey long", [(k,) for k in range(90, 130)])
+    save(spark, tmp_path, "orders", "o_custkey long", [(k * (-1) ** (k % 2),) for k in range(95, 140)] * 2)
+    got = same_as_sql(spark, "or_join_as_equi", tmp_path, "customer", "orders")
+    assert {x["topic_id"]: x["members"] for x in got} == {k: 2 for k in range(95, 130)}
