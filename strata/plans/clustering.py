@@ -21,13 +21,13 @@ def average_linkage(spark, d):
     return grouping.cluster_blocks(e, 0.1, 20)
 
 
-_LINKS = "lk AS (SELECT DISTINCT l_suppkey % 10 AS topic, 'n' || CAST(l_quantity::INTEGER % 12 AS VARCHAR) AS name, l_partkey % 200 AS item FROM lineitem WHERE l_orderkey % 4 = 0), va AS (SELECT DISTINCT l_suppkey % 10 AS topic, l_partkey % 200 AS item FROM lineitem)"
+_LINKS = "lk AS (SELECT DISTINCT l_suppkey % 10 AS topic, 'n' || CAST(l_quantity::INTEGER % 12 AS VARCHAR) AS name, l_partkey % 200 AS item FROM lineitem WHERE l_orderkey % 2 = 0), va AS (SELECT DISTINCT l_suppkey % 10 AS topic, l_partkey % 200 AS item FROM lineitem)"
 
 
 def _links(spark, d):
     l = table(spark, d, "lineitem")
     topic, item = (F.col("l_suppkey") % 10).alias("topic"), (F.col("l_partkey") % 200).alias("item")
-    return l.select(topic, item).distinct(), l.where("l_orderkey % 4 = 0").select(topic, F.concat(F.lit("n"), (F.col("l_quantity").cast("int") % 12).cast("string")).alias("name"), item).distinct()
+    return l.select(topic, item).distinct(), l.where("l_orderkey % 2 = 0").select(topic, F.concat(F.lit("n"), (F.col("l_quantity").cast("int") % 12).cast("string")).alias("name"), item).distinct()
 
 
 @query(f"""WITH {_LINKS}, it AS (SELECT topic, count(*) AS items FROM va GROUP BY 1), h AS (SELECT topic, item, count(*) AS k FROM lk GROUP BY 1, 2), hh AS (SELECT topic, count(*) FILTER (WHERE k > 1) AS multi_home, count(*) AS housed, sum(k) AS links FROM h GROUP BY 1),
@@ -44,12 +44,12 @@ def standalone_items(spark, d):
     return grouping.standalone(*_links(spark, d))
 
 
-_RIGHT = "rk AS (SELECT DISTINCT l_suppkey % 10 AS topic, 'm' || CAST(l_quantity::INTEGER % 9 AS VARCHAR) AS name, l_partkey % 200 AS item FROM lineitem WHERE l_orderkey % 4 = 1)"
+_RIGHT = "rk AS (SELECT DISTINCT l_suppkey % 10 AS topic, 'm' || CAST(l_quantity::INTEGER % 9 AS VARCHAR) AS name, l_partkey % 200 AS item FROM lineitem WHERE l_orderkey % 2 = 1)"
 _JAC = "j AS (SELECT a.topic, a.name AS a, b.name AS b, count(*) AS both_n FROM lk a JOIN rk b ON a.topic = b.topic AND a.item = b.item GROUP BY 1, 2, 3), na AS (SELECT topic, name, count(*) AS n FROM lk GROUP BY 1, 2), nb AS (SELECT topic, name, count(*) AS n FROM rk GROUP BY 1, 2), jj AS (SELECT j.topic, a, b, both_n / (na.n + nb.n - both_n) AS jaccard FROM j JOIN na ON na.topic = j.topic AND na.name = a JOIN nb ON nb.topic = j.topic AND nb.name = b)"
 
 
 def _right(spark, d):
-    return table(spark, d, "lineitem").where("l_orderkey % 4 = 1").select((F.col("l_suppkey") % 10).alias("topic"), F.concat(F.lit("m"), (F.col("l_quantity").cast("int") % 9).cast("string")).alias("name"), (F.col("l_partkey") % 200).alias("item"))
+    return table(spark, d, "lineitem").where("l_orderkey % 2 = 1").select((F.col("l_suppkey") % 10).alias("topic"), F.concat(F.lit("m"), (F.col("l_quantity").cast("int") % 9).cast("string")).alias("name"), (F.col("l_partkey") % 200).alias("item"))
 
 
 @query(f"WITH {_LINKS}, {_RIGHT}, {_JAC} SELECT topic, a, b, round(jaccard, 6) AS jaccard FROM jj")

@@ -132,3 +132,17 @@ def test_dummies_and_or_join_take_all_rows(spark, tmp_path):
     save(spark, tmp_path, "orders", "o_custkey long", [(k * (-1) ** (k % 2),) for k in range(95, 140)] * 2)
     got = same_as_sql(spark, "or_join_as_equi", tmp_path, "customer", "orders")
     assert {x["topic_id"]: x["members"] for x in got} == {k: 2 for k in range(95, 130)}
+
+
+def test_groupings_take_all_orders(spark, tmp_path):
+    r = random.Random(4)
+    rows = [(k, r.randrange(1, 40), r.randrange(1, 30), r.randrange(1, 50)) for k in range(2, 400) if k % 4 > 1]
+    save(spark, tmp_path, "lineitem", "l_orderkey long, l_partkey long, l_suppkey long, l_quantity int", rows)
+    side = lambda k, n: {(s % 10, f"{'nm'[k]}{q % n}", p % 200) for o, p, s, q in rows if o % 2 == k}
+    left, right = side(0, 12), side(1, 9)
+    got = {name: same_as_sql(spark, name, tmp_path, "lineitem") for name in ("membership_measures", "standalone_items", "group_jaccard", "grouping_alignment", "incremental_application")}
+    assert sum(x["links"] for x in got["membership_measures"]) == len({(t, n, i) for t, n, i in left})
+    assert len(got["standalone_items"]) == len({(s % 10, p % 200) for _, p, s, _ in rows} - {(t, i) for t, _, i in left})
+    assert {(x["topic"], x["a"], x["b"]) for x in got["group_jaccard"]} == {(t, n, m) for t, n, i in left for u, m, j in right if (t, i) == (u, j)}
+    assert len(got["grouping_alignment"]) == len({t for t, _, _ in left} & {t for t, _, _ in right})
+    assert sum(x["members"] for x in got["incremental_application"]) == len(left | {(t, m.replace("m", "n"), i) for t, m, i in right})
