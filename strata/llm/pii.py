@@ -43,6 +43,8 @@ _NOT_DIGITS = regex.compile(r"[^0-9]+")
 
 # Wide patterns of candidates.
 _AT = regex.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\s?(?:@|[\[({]\s?(?:at|@)\s?[\])}]|\s(?:at|AT)\s)\s?(?:[A-Za-z0-9-]{1,63}+(?:\s?(?:\.|[\[({]\s?(?:dot|\.)\s?[\])}]|\s(?:dot|DOT)\s)\s?)){1,5}+[A-Za-z]{2,24}(?![A-Za-z0-9])")
+# What any match of _AT holds.
+_AT_SIGN = regex.compile(r"@|[\[({]\s?at\s?[\])}]|\s(?:at|AT)\s\s?[A-Za-z0-9-]{1,63}+\s?(?:[.\[({]|\s(?:dot|DOT)\s)")
 _NUMBERS = regex.compile(r"(?<![0-9])[(+]?[0-9](?:[\x20().:/-]{0,2}[0-9]){6,30}+(?![0-9])")
 _DOTTED = regex.compile(r"(?<![0-9.])[0-9]{1,3}+(?:\s?(?:\[\.\]|\(\.\)|\[dot\]|,)\s?[0-9]{1,3}+){3}(?![0-9])")
 
@@ -139,7 +141,7 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[Candidate]:
     taken = [(s, e) for s, _, e in base]
     wide = []
     if "@" in text or "at" in text or "AT" in text:
-        if regex.search(r"@|[\[({]\s?at\s?[\])}]|\s(?:dot|DOT)\s", text):
+        if _AT_SIGN.search(text):
             wide += [(m.start(), m.end(), 0) for m in _AT.finditer(text)]
     if _DIGIT.search(text):
         wide += [(m.start(), m.end(), 1) for m in _DOTTED.finditer(text)]
