@@ -1,17 +1,17 @@
 """A corpus pipeline of five stages over `documents`; each stage takes the rows that the one before has kept.
 
 All stages but the last return the columns of `documents`, the last one doc_id, n_tokens and digests of ids and decoded
-text. Line dedup changes texts (and n_chars with them); a document that it leaves without a line stays, empty.
+text. Line dedup changes texts (and n_chars with them); a document that it leaves without a line stays, empty. Nulls, very long
+texts, repeated rows, ties and further columns are treated as each operator states; an empty table gives an empty result, and
+columns keep their names, order and values, whatever they are called.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from strata.llm import bpe, decontaminate, linededup, minhash, quality
-from strata.llm.common import table
-from strata.llm.suffixes import stored
+from strata.llm import bpe, decontaminate, linededup, quality, simhash
+from strata.llm.common import stored, table
 
 #: Words of a shingle in the near-duplicate stage, and the Jaccard similarity of shingles that links two documents.
 NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
@@ -22,14 +22,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = linededup.dedup_lines(docs)
-    if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+    return linededup.cut_lines(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.keep_one(docs, NEAR_SHINGLE, NEAR_SIMILARITY)
+    return simhash.keep_one(docs, NEAR_SHINGLE, similarity=NEAR_SIMILARITY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,13 +6,18 @@ placeholder, and counts the tokens that the placeholder expands to. The template
 `<|im_start|>role\\ntext<|im_end|>\\n`. Control strings inside roles and texts are escaped reversibly: `\\` becomes `\\\\`
 and `<|` becomes `<\\|`, a line break in a role `\\n`, so a marker in the output is always a real one. The loss mask covers the assistant texts.
 
-A null role or text is empty, a null turn sorts first, and rows that share a turn are ordered by role and text. A
-conversation without rows does not exist; an empty table gives an empty result.
+Malformed content is text, never an error: a list that is no list of typed parts, parts of an unknown type, JSON that is
+nested too deep, sizes that are no numbers (which count as absent), and lone surrogates (which become U+FFFD).
+
+A null role or text is empty, a null turn sorts first, and rows that share a turn are ordered by role and text, so repeated
+rows are repeated turns. Very long texts count in full. A conversation without rows does not exist; an empty table gives an
+empty result. Columns beside conv_id, turn, role and text are not looked at, whatever their names.
 """
 
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -23,6 +28,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import sha, small_batches
 
 START, END = "<|im_start|>", "<|im_end|>"
+#: Sizes from here on are taken for errors.
+MOST = 1e9
 #: A line break inside a role.
 LINE = "\\n"
 
@@ -39,6 +46,18 @@ def unescape(text: str) -> str:
     return "".join(out) + text[at:]
 
 
+def whole(text: str) -> str:
+    """text without lone surrogates, which no UTF-8 can hold."""
+    return text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
+
+
+def number(value: object, other: float) -> float:
+    """value if it is a number of a size that can be counted, else other."""
+    if isinstance(value, (int, float)) and not isinstance(value, bool) and abs(value) < MOST:
+        return value
+    return other
+
+
 @dataclass
 class Attachment:
     kind: str
@@ -63,43 +82,45 @@ class PartVisitor:
         if isinstance(part, str):
             return escape(part)
         if not isinstance(part, dict):
-            return escape(json.dumps(part, ensure_ascii=False))
-        method = getattr(self, f"visit_{part.get('type')}", None)
-        return method(part) if method else self.visit_unknown(part)
+            return self.visit_unknown(part)
+        known = {"text": self.visit_text, "image": self.visit_image, "audio": self.visit_audio, "document": self.visit_document}
+        kind = part.get("type")
+        return known.get(kind if isinstance(kind, str) else "", self.visit_unknown)(part)
 
     def visit_text(self, part: dict) -> str:
-        return escape(str(part.get("text") or ""))
+        text = part.get("text")
+        return escape(whole(text)) if isinstance(text, str) else "" if text is None else self.visit_unknown(part)
 
-    def visit_unknown(self, part: dict) -> str:
-        return escape(json.dumps(part, ensure_ascii=False, sort_keys=True))
+    def visit_unknown(self, part: object) -> str:
+        return escape(whole(json.dumps(part, ensure_ascii=False, sort_keys=True)))
 
     def visit_image(self, part: dict) -> str:
-        wide, high = (max(1, int(part.get(k) or self.patch)) for k in ("width", "height"))
-        return self._attach("image", part, -(-wide // self.patch) * -(-high // self.patch))
+        wide, high = (max(1, math.ceil(number(part.get(k), self.patch) / self.patch)) for k in ("width", "height"))
+        return self._attach("image", part, wide * high)
 
     def visit_audio(self, part: dict) -> str:
-        return self._attach("audio", part, max(1, round(float(part.get("seconds") or 0) * self.audio_rate)))
+        return self._attach("audio", part, max(1, round(number(part.get("seconds"), 0) * self.audio_rate)))
 
     def visit_document(self, part: dict) -> str:
-        return self._attach("document", part, self.page_tokens * max(1, int(part.get("pages") or 1)))
+        return self._attach("document", part, self.page_tokens * max(1, math.ceil(number(part.get("pages"), 1))))
 
     def _attach(self, kind: str, part: dict, tokens: int) -> str:
         mark = f"<|{kind}:{len(self.found)}|>"
-        self.found.append(Attachment(kind, str(part.get("url") or part.get("ref") or ""), tokens, mark))
+        self.found.append(Attachment(kind, whole(str(part.get("url") or part.get("ref") or "")), tokens, mark))
         return mark
 
 
 def content(raw: str | None, typed: bool, visitor: PartVisitor) -> str:
-    """Flattened, escaped content. Only with typed is a JSON list of parts taken apart; any other text is text."""
+    """Flattened, escaped content. Only with typed is a JSON list of parts taken apart; any other text is one part of text."""
     raw = raw or ""
     if typed and raw.startswith("["):
         try:
             parts = json.loads(raw)
-        except ValueError:
+        except (ValueError, RecursionError):
             parts = None
         if isinstance(parts, list) and parts and all(isinstance(p, dict) and "type" in p for p in parts):
             return visitor.flatten(parts)
-    return visitor.visit(raw)
+    return visitor.flatten([{"type": "text", "text": raw}])
 
 
 def render(turns: list[tuple[str, str]], typed: bool = False) -> tuple[str, list[tuple[int, int]], list[Attachment]]:

@@ -6,10 +6,12 @@ enough to find candidates. Length and position bounds follow from the shingle's
 says and must end inside the document. Candidates are verified word by word.
 
 Documents are scanned twice, once to count shingles and once to join; neither scan shuffles texts. The windows of the
-benchmark are broadcast in blocks of at most BLOCK_ROWS, so that a larger benchmark means more blocks, not a larger block.
+benchmark are broadcast in blocks of about BLOCK_ROWS rows and BLOCK_BYTES bytes, so that a larger benchmark means more
+blocks, not a larger block; each further block, and each size of shingle, is one more scan of the documents.
 
-Null or wordless texts have no words and no hits. Items that are null or wordless have no windows. Rows that repeat an id
-and a text all get the same result; extra columns of the inputs are not looked at.
+Null or wordless texts have no words and no hits. Items that are null or wordless have no windows. Very long texts count in
+full. Rows that repeat an id and a text all get the same result; extra columns are not looked at and, when documents are
+filtered, pass through whatever their names. An empty table gives an empty result, an empty benchmark no hits.
 """
 
 from __future__ import annotations
@@ -18,11 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.common import row_key
+from strata.llm.common import columns_of, maybe_in, row_key, same_row, stored, whole_row
 
 WINDOW, SHINGLE = 10, 3
 #: Rows of the benchmark side in one broadcast; a row has at most WINDOW words and its items.
 BLOCK_ROWS = 200_000
+#: And bytes, however long the words or however many the items are.
+BLOCK_BYTES = 64 << 20
 #: What separates words once A-Z are lower-cased.
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -65,28 +69,30 @@ def _positions(docs: DataFrame, size: int) -> DataFrame:
     return out.select("doc_id", "key", "words", "at", _shingle(F.col("words"), F.col("at"), size).alias("token"))
 
 
-def _blocks(rows: DataFrame, by: Column, block_rows: int) -> list[DataFrame]:
-    n = max(1, -(-rows.count() // block_rows))
+def _blocks(rows: DataFrame, by: Column, block_rows: int, size: Column) -> list[DataFrame]:
+    """rows in parts of about block_rows rows and BLOCK_BYTES bytes at most. size: the bytes of a row."""
+    n, total = rows.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    n = max(1, -(-n // block_rows), -(-int(total) // BLOCK_BYTES))
     return [rows] if n == 1 else [rows.where(F.pmod(F.xxhash64(by), F.lit(n)) == k) for k in range(n)]
 
 
 def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """doc_id, key, start (a position in split_words), n, items: every occurrence of every window."""
     docs = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), split_words(F.col("text")).alias("words"))
-    index = windows(items, window, shingle).cache()
+    index = stored(windows(items, window, shingle))
     parts = []
     for size in [r["size"] for r in index.select("size").distinct().collect()]:
         own = index.where(F.col("size") == size)
         tokens = own.select(F.explode("shingles").alias("token")).distinct()
         counts = None
-        for block in _blocks(tokens, F.col("token"), block_rows):
+        for block in _blocks(tokens, F.col("token"), block_rows, F.lit(8)):
             found = _positions(docs, size).select("token").join(F.broadcast(block), "token").groupBy("token").agg(F.count("*").alias("df"))
             counts = found if counts is None else counts.unionByName(found)
         # the rarest shingle of each window; a window that lacks one in all documents occurs nowhere
         spread = own.select("words", "n", "items", F.posexplode("shingles").alias("offset", "token")).join(counts, "token", "left")
         prefix = spread.groupBy("words").agg(F.first("n").alias("n"), F.first("items").alias("items"), F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token", "offset")).alias("rarest"))
-        prefix = prefix.where("rarest.df > 0").select(F.col("rarest.token").alias("token"), F.col("rarest.offset").alias("offset"), F.col("words").alias("window"), "n", "items").cache()
-        for block in _blocks(prefix, F.col("window"), block_rows):
+        prefix = stored(prefix.where("rarest.df > 0").select(F.col("rarest.token").alias("token"), F.col("rarest.offset").alias("offset"), F.col("words").alias("window"), "n", "items"))
+        for block in _blocks(prefix, F.col("window"), block_rows, F.octet_length(F.concat_ws(" ", "window")) + F.octet_length(F.concat_ws(" ", "items"))):
             start = F.col("at") - F.col("offset")
             fits = (start >= 0) & (start + F.col("n") <= F.size("words")) & (F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("n")) == F.col("window"))
             candidate = _positions(docs, size).alias("d").join(F.broadcast(block).alias("w"), (F.col("d.token") == F.col("w.token")) & fits)
@@ -116,6 +122,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of docs in which no window of any item occurs."""
-    bad = matches(docs, items, window).select("key").distinct()
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), row_key(F.col("doc_id"), F.col("text")).alias("key"))
-    return keyed.join(bad, "key", "left_anti").select("row.*")
+    bad = stored(matches(docs, items, window).select("doc_id", "key").distinct())
+    keyed = docs.select(whole_row(docs.columns).alias("row"), "doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"))
+    marked = maybe_in(keyed, bad, ["key"], flag="hit")  # only texts that may go are shuffled
+    clean = same_row(marked.where("hit").select("row", "doc_id", "key"), bad, "left_anti").select("row")
+    return marked.where("not hit").select("row").unionByName(clean).select(*columns_of("row", docs.columns))

@@ -13,17 +13,16 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return row["n"], int(row["h"] or 0)
 
 
-def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """u, root for every vertex u of edges (u, v) that is not its component's smallest vertex, which is root.
 
     Minima are aggregated before the shuffle, so that the hub of a star sends one row per task; each round is cut off by a
-    checkpoint in the shared folder. An empty list of edges gives an empty result.
+    checkpoint in the shared folder; rounds go on until nothing changes, which takes about log2 of the longest path. An empty
+    list of edges gives an empty result.
     """
     edges = checkpointed(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     state = _state(edges)
-    for _ in range(most_rounds):
-        if state[0] == 0:
-            break
+    while state[0]:
         # large star: each larger neighbour of a vertex points to the smallest vertex that is near it
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

@@ -1,42 +1,29 @@
-"""Near-duplicate groups of whole texts: links are Jaccard similarities of word shingles, checked on full sets.
+"""Sets of word shingles and bands of their minima, for texts as simhash reads them.
 
-A text's words are those of simhash; its tokens are 64-bit hashes of its shingles (a shorter text is one token, one without
-words has none). Texts with equal sets of tokens are one vertex. Candidates share one of BANDS bands of ROWS minima: a pair
-at a similarity of 0.8 misses all of them with a probability of 1.2e-7, a closer one with less.
-
-In each bucket the vertices meet its smallest one. Buckets whose vertices are then in several groups go into a second round:
-vertices outside the bucket's largest group meet all of the bucket that are in other groups than theirs. So a large group of
-near copies costs one check a member, and no link between groups is left out.
+A text's tokens are 64-bit hashes of its shingles (a shorter text is one token, one without words has none). Similar texts
+share one of BANDS bands of ROWS minima: a pair at a similarity of 0.8 misses all of them with a probability of 1.2e-7, a
+closer one with less.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from strata.llm.common import flat, mix64, row_key, small_batches
-from strata.llm.graph import components
-from strata.llm.simhash import SEED, keep_first
-from strata.llm.suffixes import stored
+from strata.llm.common import mix64
 
-SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 40, 5
 #: Tokens whose minima are taken at once, so that a very long text needs no more memory than others.
 _BLOCK = 4096
 _FACTORS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def tokens(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
+def tokens(text: bytes, shingle: int, seed: int) -> np.ndarray:
     """Sorted distinct hashes of the text's shingles."""
     words = text.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    found = {xxhash.xxh64_intdigest(b" ".join(words[k : k + shingle]), SEED) for k in range(max(1, len(words) - shingle + 1))}
+    found = {xxhash.xxh64_intdigest(b" ".join(words[k : k + shingle]), seed) for k in range(max(1, len(words) - shingle + 1))}
     return np.sort(np.fromiter(found, np.uint64, len(found)))
 
 
@@ -51,68 +38,3 @@ def bands(found: np.ndarray) -> np.ndarray:
     for column in least.reshape(BANDS, ROWS).T:
         out = mix64(out ^ column) + np.uint64(1)
     return out
-
-
-def _sets(docs: DataFrame, shingle: int, whole: bool) -> DataFrame:
-    """doc_id, key, vertex (hash of the set of tokens) and n, its size, with the bands, or the tokens if whole."""
-    small_batches(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            data, offsets = flat(b.column("text"))
-            raw = data.tobytes()
-            sets = [tokens(raw[offsets[i] : offsets[i + 1]], shingle) for i in range(b.num_rows)]
-            vertex = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
-            out = [(s if whole else bands(s)).view(np.int64) for s in sets]
-            ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *out])))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(vertex), pa.array([len(s) for s in sets], pa.int32()), lists], names=["doc_id", "key", "vertex", "n", "hashes"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "key", "text").mapInArrow(run, f"doc_id {kind}, key long, vertex long, n int, hashes array<long>")
-
-
-def _similar(docs: DataFrame, keys: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The rows (u, v) of pairs whose sets of tokens are similar. keys: vertex and the key of one row that has it."""
-    wanted = pairs.select(F.col("u").alias("vertex")).unionByName(pairs.select(F.col("v").alias("vertex"))).distinct()
-    rows = docs.join(wanted.join(keys, "vertex").select("key"), "key").dropDuplicates(["key"])
-    sets = stored(_sets(rows, shingle, True).select(F.col("vertex").alias("u"), F.col("hashes").alias("a")))
-    both = pairs.join(sets, "u").join(sets.select(F.col("u").alias("v"), F.col("a").alias("b")), "v")
-    shared = F.size(F.array_intersect("a", "b"))
-    return both.where(shared >= (F.size("a") + F.size("b") - shared) * similarity - 1e-9).select("u", "v")
-
-
-def near_groups(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, key (of doc_id and text) and root (a vertex that names the group); a row for each row of docs."""
-    keyed = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
-    marked = stored(_sets(keyed, shingle, False))
-    vertices = marked.groupBy("vertex").agg(F.min("key").alias("key"), F.min("n").alias("n"), F.first("hashes").alias("hashes"))
-    vertices = stored(vertices)
-    keys = vertices.select("vertex", "key")
-    rows = vertices.select("vertex", "n", F.explode("hashes").alias("band"))
-    first = rows.groupBy("band").agg(F.count("*").alias("k"), F.min(F.struct("vertex", "n")).alias("first")).where("k > 1").drop("k")
-    rows = stored(rows.join(first, "band"))
-    near = lambda n, m: F.least(n, m) >= F.greatest(n, m) * similarity - 1e-9
-    pairs = rows.where((F.col("vertex") != F.col("first.vertex")) & near(F.col("n"), F.col("first.n")))
-    pairs = stored(pairs.select(F.col("vertex").alias("u"), F.col("first.vertex").alias("v")).distinct())
-    links = stored(_similar(keyed, keys, pairs, shingle, similarity))
-
-    def named(links: DataFrame, rows: DataFrame) -> DataFrame:
-        return rows.join(components(links).withColumnRenamed("u", "vertex"), "vertex", "left").withColumn("root", F.coalesce("root", "vertex"))
-
-    # second round, only where a bucket still has several groups
-    grouped = stored(named(links, rows.select("vertex", "n", "band")))
-    most = grouped.groupBy("band", "root").agg(F.count("*").alias("k")).groupBy("band").agg(F.count("*").alias("groups"), F.max(F.struct("k", "root")).alias("most"))
-    open_ = grouped.join(most.where("groups > 1").select("band", F.col("most.root").alias("big")), "band")
-    other = open_.select("band", F.col("vertex").alias("w"), F.col("n").alias("m"), F.col("root").alias("side"))
-    met = open_.where("root <> big").join(other, "band").where((F.col("root") != F.col("side")) & near(F.col("n"), F.col("m")))
-    met = met.select(F.greatest("vertex", "w").alias("u"), F.least("vertex", "w").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti")
-    met = stored(met)
-    if not met.isEmpty():
-        links = links.unionByName(_similar(keyed, keys, met, shingle, similarity))
-    return named(links, marked.select("doc_id", "key", "vertex")).select("doc_id", "key", "root")
-
-
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """One row of docs for each group: the one with the smallest doc_id (a null one counts as smallest)."""
-    return keep_first(docs, near_groups(docs, shingle, similarity))

@@ -13,9 +13,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from strata.llm import trees
-from strata.llm.common import flat, mix64, small_batches
+from strata.llm.common import columns_of, flat, mix64, small_batches, whole_row
 
 #: Fixed values of the base rules.
 WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 8, 20, 30
@@ -106,23 +107,32 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> trees
     return trees.fit(np.stack(rows["x"].to_numpy()), rows["quality"].to_numpy().astype(float), MONOTONE)
 
 
-def judge(docs: DataFrame, forest: trees.Forest, keep_at: float = KEEP_AT) -> DataFrame:
-    """All columns of docs, then COUNTS, base_failed, quality_score and kept (columns of docs with these names are replaced)."""
+_ADDED = [*COUNTS, "base_failed", "quality_score", "kept"]
+
+
+def _judged(docs: DataFrame, forest: trees.Forest) -> DataFrame:
+    """row (all columns of docs as one), then the counts and base_failed and quality_score."""
     small_batches(docs.sparkSession)
-    added = [*COUNTS, "base_failed", "quality_score", "kept"]
-    keep = [c for c in docs.columns if c not in added]
-    docs = docs.select(*keep)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"{c} long" for c in COUNTS] + ["base_failed boolean, quality_score double, kept boolean"])
+    rows = docs.select(whole_row(docs.columns).alias("row"), F.col("text"))
+    schema = StructType([rows.schema["row"], *[StructField(c, LongType()) for c in COUNTS], StructField("base_failed", BooleanType()), StructField("quality_score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             counts, x = statistics(b.column("text"))
-            failed, score = base_failed(counts), forest.score(x)
-            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(counts[c]) for c in COUNTS), pa.array(failed), pa.array(score), pa.array(~failed & (score >= keep_at))], names=[*b.schema.names, *added])
+            yield pa.RecordBatch.from_arrays([b.column("row"), *(pa.array(counts[c]) for c in COUNTS), pa.array(base_failed(counts)), pa.array(forest.score(x))], names=["row", *_ADDED[:-1]])
 
-    return docs.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
+
+
+def judge(docs: DataFrame, forest: trees.Forest, keep_at: float = KEEP_AT) -> DataFrame:
+    """All columns of docs, then COUNTS, base_failed, quality_score and kept (columns of docs with these names, in any case,
+    are replaced)."""
+    keep = [c for c in docs.columns if c.lower() not in _ADDED]
+    verdict = (~F.col("base_failed") & (F.col("quality_score") >= keep_at)).alias("kept")
+    return _judged(docs, forest).select(*columns_of("row", keep), *_ADDED[:-1], verdict)
 
 
-def filter_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that pass, with the columns of docs."""
-    return judge(docs, train(docs, labels)).where("kept").select(*docs.columns)
+def filter_documents(docs: DataFrame, labels: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:
+    """The documents that pass, with the columns of docs as they are."""
+    judged = _judged(docs, train(docs, labels))
+    return judged.where(~F.col("base_failed") & (F.col("quality_score") >= keep_at)).select(*columns_of("row", docs.columns))

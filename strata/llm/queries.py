@@ -20,7 +20,9 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], rows.schema)
-    return chat.format_conversations(rows.unionByName(extra), typed=False).select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+    # each text goes through the visitor as one typed part, so that none is taken for a list of parts itself
+    out = chat.format_conversations(rows.unionByName(extra), typed=False)
+    return out.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", F.size("attachments").cast("long").alias("n_attachments"), "attachment_tokens")
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +51,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.find_spans(docs, pii.train(docs)).select("doc_id", *pii.COUNTS, "base_sha256", "spans")
+    return pii.find_spans(docs, pii.train(docs)).select("doc_id", *pii.COUNTS, "base_sha256", "spans", "n_added", "n_spans")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +91,7 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, C
     "op2_chat_format": """WITH c AS (SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
 e AS (SELECT *, 24 + length(replace(replace(replace(role, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|'), chr(10), 'xx')) + length(replace(replace(text, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|')) AS size FROM c)
 SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256, CAST(COALESCE(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-sha256(COALESCE(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, CAST(sum(size) AS BIGINT) AS formatted_chars FROM e GROUP BY 1""",
+sha256(COALESCE(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, CAST(sum(size) AS BIGINT) AS formatted_chars, CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS attachment_tokens FROM e GROUP BY 1""",
     "op4_line_dedup": """WITH l AS (SELECT doc_id, unnest(p) AS line, generate_subscripts(p, 1) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)), k AS (SELECT * FROM l WHERE trim(line, ' ') <> ''),
 f AS (SELECT line, min((doc_id, pos)) AS o, string_split(line, ' ') AS w FROM k GROUP BY 1), t AS (SELECT line, o, list_distinct(list_transform(range(0, greatest(len(w) - 5, 0) + 1), lambda i: array_to_string(list_slice(w, i + 1, i + 5), ' '))) AS t FROM f),
 u AS (SELECT line, o, len(t) AS n, unnest(t) AS x FROM t), gone AS (SELECT DISTINCT line FROM (SELECT a.line, b.line AS other, a.n, b.n AS m, count(*) AS c FROM u a JOIN u b ON a.x = b.x AND b.o < a.o GROUP BY 1, 2, 3, 4) WHERE c * 1.8 >= 0.8 * (n + m) - 1e-9),

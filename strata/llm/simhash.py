@@ -24,7 +24,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import checkpointed, flat, row_key, small_batches
+from strata.llm import minhash
+from strata.llm.common import checkpointed, columns_of, flat, free, maybe_in, row_key, same_row, small_batches, stored, whole_row
 from strata.llm.graph import components
 
 SHINGLE, SEED, DISTANCE = 3, 42, 2
@@ -48,7 +49,12 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
         starts = (ends - np.array([len(w) + 1 for w in words])).tolist()
         digest = xxhash.xxh64_intdigest
         hashes = [digest(joined[a:b], seed) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist())]
-    bits = np.unpackbits(np.array(hashes, ">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    return majority(np.array(hashes, np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
+    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
     ones = np.zeros(64, np.int64)
     for k in range(0, len(bits), 255):  # sums of a byte cannot overflow
         ones += bits[k : k + 255].sum(axis=0, dtype=np.uint8)
@@ -219,22 +225,114 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     doc_id that links reach from the row; a row for each row of docs."""
     keyed = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
     marked = checkpointed(fingerprints(keyed, shingle).select("doc_id", "key", "fp"))
-    fps = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(fps, distance))
-    joined = fps.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = joined.join(named, "root").select("fp", "root", "component_id")
-    return marked.join(classes, "fp").select("doc_id", "key", "fp", "root", "component_id")
-
-
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One row of docs for each group: the one with the smallest doc_id (a null one counts as smallest)."""
-    return keep_first(docs, near_groups(docs, shingle, distance).select("doc_id", "key", "root"))
-
+    fps = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    # a vertex begins with its smallest doc_id, a null one last, so that the smallest vertex of a component names it
+    vertex = F.struct(F.col("least").isNull().alias("none"), "least", "fp")
+    edges = links(fps, distance)
+    for side in ("u", "v"):
+        edges = edges.withColumnRenamed(side, "fp").join(fps.select("fp", vertex.alias(side)), "fp").drop("fp")
+    roots = components(edges)
+    classes = fps.join(roots.select(F.col("u.fp").alias("fp"), F.struct("root.fp", "root.least").alias("root")), "fp", "left")
+    classes = checkpointed(classes.select("fp", F.coalesce("root", F.struct("fp", "least")).alias("root")))
+    return marked.join(classes, "fp").select("doc_id", "key", "fp", F.col("root.fp").alias("root"), F.col("root.least").alias("component_id"))
+
+
+def _sets(docs: DataFrame, shingle: int, whole: bool) -> DataFrame:
+    """doc_id, key, vertex (hash of the set of tokens), n, its size, fp, its fingerprint, and the bands, or the tokens if whole."""
+    small_batches(docs.sparkSession)
 
-def keep_first(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows of docs that come first in their group. groups: doc_id, key, root."""
-    least = groups.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("stays"))
-    later = groups.select("key", "root").join(least, "root").where(F.col("key") != F.col("stays.key")).select("key").distinct()
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), row_key(F.col("doc_id"), F.col("text")).alias("key"))
-    return keyed.join(later, "key", "left_anti").dropDuplicates(["key"]).select("row.*")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = flat(b.column("text"))
+            raw = data.tobytes()
+            sets = [minhash.tokens(raw[offsets[i] : offsets[i + 1]], shingle, SEED) for i in range(b.num_rows)]
+            vertex = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
+            fp = np.array([0 if whole else majority(s) for s in sets], np.uint64).view(np.int64)
+            out = [(s if whole else minhash.bands(s)).view(np.int64) for s in sets]
+            ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *out])))
+            columns = [b.column("doc_id"), b.column("key"), pa.array(vertex), pa.array([len(s) for s in sets], pa.int32()), pa.array(fp), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "vertex", "n", "fp", "hashes"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "key", "text").mapInArrow(run, f"doc_id {kind}, key long, vertex long, n int, fp long, hashes array<long>")
+
+
+def _similar(docs: DataFrame, keys: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The rows (u, v) of pairs whose sets of tokens are similar, stored. keys: vertex and the key of one row that has it."""
+    pairs = stored(pairs)
+    wanted = stored(pairs.select(F.col("u").alias("vertex")).unionByName(pairs.select(F.col("v").alias("vertex"))).distinct().join(keys, "vertex"))
+    rows = maybe_in(docs, wanted, ["key"]).join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"])
+    sets = stored(_sets(rows, shingle, True).select(F.col("vertex").alias("u"), F.col("hashes").alias("a")))
+    both = pairs.join(sets, "u").join(sets.select(F.col("u").alias("v"), F.col("a").alias("b")), "v")
+    shared = F.size(F.array_intersect("a", "b"))
+    out = stored(both.where(shared >= (F.size("a") + F.size("b") - shared) * similarity - 1e-9).select("u", "v"))
+    free(pairs, wanted, sets)
+    return out
+
+
+def similar_groups(docs: DataFrame, shingle: int, similarity: float, distance: int = DISTANCE) -> DataFrame:
+    """doc_id, key (of doc_id and text) and root (a vertex that names the group); a row for each row of docs. Links are Jaccard
+    similarities of sets of shingles, checked on full sets; texts with equal sets are one vertex.
+
+    First the Gray-order index links fingerprints within the distance. A 64-bit fingerprint misses most pairs just above 0.8,
+    so bands of minima bring more candidates: each vertex meets the smallest one of its bands that is in another group, and
+    where a band still holds several groups, those outside its largest one meet all of it that are in other groups than
+    theirs. So a large group of near copies costs a check or two a member, and no link between groups is left out.
+    """
+    keyed = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
+    marked = stored(_sets(keyed, shingle, False))
+    vertices = stored(marked.groupBy("vertex").agg(F.min("key").alias("key"), F.min("n").alias("n"), F.min("fp").alias("fp"), F.first("hashes").alias("hashes")))
+    keys = vertices.select("vertex", "key")
+    near = lambda n, m: F.least(n, m) >= F.greatest(n, m) * similarity - 1e-9
+
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
+
+    # equal fingerprints meet their smallest vertex; linked ones meet by theirs
+    prints = stored(vertices.groupBy("fp").agg(F.min("vertex").alias("v")))
+    pairs = vertices.select("fp", F.col("vertex").alias("u")).join(prints, "fp").select("u", "v")
+    forest_ = links(prints.select("fp"), distance)
+    for side in ("u", "v"):
+        forest_ = forest_.withColumnRenamed(side, "fp").join(prints.withColumnRenamed("v", f"{side}_"), "fp").drop("fp")
+    found = _similar(keyed, keys, ordered(pairs.unionByName(forest_.select(F.col("u_").alias("u"), F.col("v_").alias("v")))), shingle, similarity)
+
+    def named(found: DataFrame) -> DataFrame:
+        roots = components(found).withColumnRenamed("u", "vertex")
+        return vertices.select("vertex").join(roots, "vertex", "left").select("vertex", F.coalesce("root", "vertex").alias("root"))
+
+    rows = vertices.select("vertex", "n", F.explode("hashes").alias("band"))
+    shared = stored(rows.groupBy("band").agg(F.count("*").alias("k")).where("k > 1").select("band"))
+    rows = stored(maybe_in(rows, shared, ["band"]).join(shared, "band"))
+    grouped = stored(rows.join(stored(named(found)), "vertex"))
+    first = grouped.groupBy("band").agg(F.min(F.struct("vertex", "n", "root")).alias("first"), F.max("root").alias("a"), F.min("root").alias("z")).where("a <> z").select("band", "first")
+    met = grouped.join(first, "band").where((F.col("root") != F.col("first.root")) & near(F.col("n"), F.col("first.n")))
+    tried = stored(ordered(met.groupBy(F.col("vertex").alias("u")).agg(F.min("first.vertex").alias("v"))))
+    found = found.unionByName(_similar(keyed, keys, tried, shingle, similarity))
+    grouped = stored(rows.join(stored(named(found)), "vertex"))
+    most = grouped.groupBy("band", "root").agg(F.count("*").alias("k")).groupBy("band").agg(F.count("*").alias("groups"), F.max(F.struct("k", "root")).alias("most"))
+    open_ = stored(grouped.join(most.where("groups > 1").select("band", F.col("most.root").alias("big")), "band"))
+    other = open_.select("band", F.col("vertex").alias("w"), F.col("n").alias("m"), F.col("root").alias("side"))
+    met = open_.where("root <> big").join(other, "band").where((F.col("root") != F.col("side")) & near(F.col("n"), F.col("m")))
+    met = stored(ordered(met.select(F.col("vertex").alias("u"), F.col("w").alias("v"))).join(tried, ["u", "v"], "left_anti"))
+    if not met.isEmpty():
+        found = found.unionByName(_similar(keyed, keys, met, shingle, similarity))
+    roots = stored(named(found))
+    return marked.select("doc_id", "key", "vertex").join(roots, "vertex").select("doc_id", "key", "root")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, similarity: float | None = None) -> DataFrame:
+    """One row of docs for each group: the one with the smallest doc_id (a null one counts as smallest). Groups are those of
+    near fingerprints, or, with a similarity, those of similar sets of shingles. Of rows equal in doc_id and text, the one
+    whose content as JSON has the smallest hash stays."""
+    groups = near_groups(docs, shingle, distance) if similarity is None else similar_groups(docs, shingle, similarity, distance)
+    groups = stored(groups.select("doc_id", "key", "root"))
+    # no row meets its group: minima are combined before the shuffle, and all others are later rows
+    stays = groups.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("x")).select("x.doc_id", "x.key")
+    rows = groups.groupBy("doc_id", "key").agg(F.count("*").alias("n"))
+    touched = stored(same_row(rows, stored(stays.withColumn("stays", F.lit(True))), "left").where("stays is null or n > 1"))
+    keyed = docs.select(whole_row(docs.columns).alias("row"), "doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"))
+    marked = maybe_in(keyed, touched, ["key"], flag="hit")
+    left = same_row(marked.where("hit").select("row", "doc_id", "key"), touched.where("stays is null").select("doc_id", "key"), "left_anti")
+    once = left.groupBy("doc_id", "key").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return marked.where("not hit").select("row").unionByName(once.select("row")).select(*columns_of("row", docs.columns))

@@ -1,20 +1,27 @@
 """Toxicity scores from a learned lexicon, with misspellings and context.
 
 The lexicon is learned from labelled documents: whole terms, and stems that match any ending, whose document frequency in
-toxic documents is far above that in others. It becomes a trie. The trie is intersected with the Levenshtein automaton of
-each term (one edit from MIN_TYPO letters on, two from MIN_TWO on; stems take none) by running both as one automaton over
-all words of a batch: a state is a set of (trie node, edits so far), transitions are worked out once, and numpy steps all
-words of a batch at a time. Words fall out as soon as no entry is in reach, most after three letters.
+toxic documents is far above that in others; every entry with enough evidence is in it. It becomes a trie. The trie is
+intersected with the Levenshtein automaton of each term (one edit from MIN_TYPO letters on, two from MIN_TWO on, the first
+letter included; stems take none) by running both as one automaton over all words of a batch: a state is a set of (trie node,
+edits so far), and numpy steps all words of a batch at a time. A transition is worked out when a word first takes it, so the
+table holds what texts reach and not what a large lexicon could; beyond MOST_STATES states it starts anew. Words fall out as
+soon as no entry is in reach.
 
 Around every hit a window of words tells quotation from abuse: an open quotation mark on the line, or a reporting word
 before it, makes a hit quoted; a word of address makes it direct; hits close together raise the window's score. A logistic
 model over these scores gives the probability. Inputs of a score are the text alone. An empty or null text has no hits and
 gets the score of a text without hits. Without labels of both kinds, all scores are the share of label 1 (0 if none).
+
+A document with several labels is toxic if one of them says so; of equal evidence the entry first in the alphabet counts.
+Repeated rows get equal scores; very long texts count in full, in time that grows with their length. Only doc_id and text
+are read, whatever other columns are named; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,14 +35,15 @@ from strata.llm.common import held_out, small_batches, texts
 
 #: The model is fitted on at most so many labelled documents, those with the smallest hashed ids.
 FIT_ROWS = 20_000
-#: Most entries of the lexicon, those with the largest evidence.
-LEXICON = 400
+#: States of the joint automaton that are held at once.
+MOST_STATES = 50_000
 STEM_FROM, STEM_TO = 4, 6
 MIN_TYPO, MIN_TWO = 5, 9
 #: Words on either side of a hit that its context takes in.
 CONTEXT = 8
 _WORD = regex.compile(r"[^\W_]+(?:[@$*!'][^\W_]+)*")
-_QUOTES = "\"“”„«»‘’"
+# An apostrophe between letters is none of them.
+_QUOTE = regex.compile(r"[\"“”„«»]|(?<!\w)[‘’](?=\w)|(?<=\w)’(?!\w)")
 _REPORT = frozenset("said says quote quoted quotes wrote writes called term word cites dit cite mot écrit sagte schrieb wort zitat dijo palabra cita".split())
 _ADDRESS = frozenset("you your youre u ur yourself tu toi vous te ton ta du dich dein deine ihr usted tú ti".split())
 FEATURES = 7
@@ -47,113 +55,131 @@ class Lexicon:
 
     entries: list[tuple[str, bool, float]]
     classes: dict[str, int] = field(default_factory=dict)
-    step: np.ndarray | None = None  # state x class -> state; 0 is the dead state, 1 the start
-    best: np.ndarray | None = None  # state -> entry that a word ending here matches, or -1
-    typo: np.ndarray | None = None  # state -> whether that match has an edit
+    nodes: list[dict[str, int]] = field(default_factory=list)  # of the trie, by letter
+    ends: list[int] = field(default_factory=list)  # entry that ends in a node, or -1
+    edits: list[int] = field(default_factory=list)  # most edits that an entry in or below a node takes
 
     def build(self) -> Lexicon:
-        """Works out the joint automaton of the trie and the entries' edit automata."""
-        nodes: list[dict[str, int]] = [{}]
-        ends: list[int] = [-1]
-        edits: list[int] = [0]  # most edits that an entry below the node takes
-        for e, (text, stem, _) in enumerate(self.entries):
-            at = 0
-            most = 0 if stem else 2 if len(text) >= MIN_TWO else 1 if len(text) >= MIN_TYPO else 0
-            edits[0] = max(edits[0], most)
+        self.nodes, self.ends, self.edits = [{}], [-1], [0]
+        for e, (text, _, _) in enumerate(self.entries):
+            at, most = 0, self._most(e)
+            self.edits[0] = max(self.edits[0], most)
             for c in text:
-                if c not in nodes[at]:
-                    nodes[at][c] = len(nodes)
-                    nodes.append({})
-                    ends.append(-1)
-                    edits.append(0)
-                at = nodes[at][c]
-                edits[at] = max(edits[at], most)
-            if ends[at] < 0:
-                ends[at] = e
-        allowed = [-1 if e < 0 else 0 if self.entries[e][1] else 2 if len(self.entries[e][0]) >= MIN_TWO else 1 if len(self.entries[e][0]) >= MIN_TYPO else 0 for e in ends]
+                if c not in self.nodes[at]:
+                    self.nodes[at][c] = len(self.nodes)
+                    self.nodes.append({})
+                    self.ends.append(-1)
+                    self.edits.append(0)
+                at = self.nodes[at][c]
+                self.edits[at] = max(self.edits[at], most)
+            if self.ends[at] < 0:
+                self.ends[at] = e
         self.classes = {c: k + 1 for k, c in enumerate(sorted({c for t, _, _ in self.entries for c in t}))}  # class 0: any other
+        self._forget()
+        return self
 
-        def closed(active: dict[int, int]) -> frozenset:
-            """Adds what skipping letters of the entry reaches; the first letter is never skipped."""
-            todo = list(active.items())
-            while todo:
-                node, used = todo.pop()
-                if node < 0 or node == 0:
-                    continue
-                for child in nodes[node].values():
-                    if used + 1 <= edits[child] and used + 1 < active.get(child, 9):
-                        active[child] = used + 1
-                        todo.append((child, used + 1))
-            return frozenset(active.items())
-
-        def follow(state: frozenset, c: str | None) -> frozenset:
-            out: dict[int, int] = {}
-
-            def put(node: int, used: int) -> None:
-                if used < out.get(node, 9):
-                    out[node] = used
-
-            for node, used in state:
-                if node < 0:  # a stem that has been matched takes any ending
-                    put(node, 0)
-                    continue
-                if c is not None and c in nodes[node]:
-                    child = nodes[node][c]
-                    put(child, used)
-                    if used == 0 and ends[child] >= 0 and self.entries[ends[child]][1]:
-                        put(-1 - ends[child], 0)
-                if node and used + 1 <= edits[node]:
-                    put(node, used + 1)  # an added letter
-                for child in nodes[node].values():
-                    if node and used + 1 <= edits[child]:
-                        put(child, used + 1)  # another letter
-            return closed(out)
-
-        start = closed({0: 0})
-        index, todo, rows, best, typo = {frozenset(): 0, start: 1}, [start], {0: [0] * (len(self.classes) + 1)}, {0: -1}, {0: False}
-        letters = [None, *self.classes]
+    def _most(self, entry: int) -> int:
+        text, stem, _ = self.entries[entry]
+        return 0 if stem else 2 if len(text) >= MIN_TWO else 1 if len(text) >= MIN_TYPO else 0
+
+    def _forget(self) -> None:
+        """Only the dead state 0 and the start 1 are known."""
+        self._sets, self._index = [], {}
+        self._step = np.full((64, len(self.classes) + 1), -1, np.int32)  # state x class -> state, -1 where not yet worked out
+        self._best, self._typo = np.full(64, -1, np.int32), np.zeros(64, bool)  # what a word that ends here matches, and whether with an edit
+        self._state(frozenset())
+        self._state(self._closed({0: 0}))
+        self._step[0] = 0
+
+    def _state(self, active: frozenset) -> int:
+        if active in self._index:
+            return self._index[active]
+        k = self._index[active] = len(self._sets)
+        self._sets.append(active)
+        if k == len(self._best):
+            self._step = np.concatenate([self._step, np.full_like(self._step, -1)])
+            self._best, self._typo = np.concatenate([self._best, np.full_like(self._best, -1)]), np.concatenate([self._typo, np.zeros_like(self._typo)])
+        found = []
+        for node, used in active:
+            if node < 0:  # a stem that has been matched takes any ending
+                found.append((0, -1 - node))
+            elif self.ends[node] >= 0 and used <= self._most(self.ends[node]):
+                found.append((used, self.ends[node]))
+        low = min(found, default=(0, -1))
+        self._best[k], self._typo[k] = low[1], low[0] > 0
+        return k
+
+    def _closed(self, active: dict[int, int]) -> frozenset:
+        """Adds what skipping letters of the entry reaches."""
+        todo = list(active.items())
         while todo:
-            state = todo.pop()
-            row = []
-            for c in letters:
-                after = follow(state, c)
-                if after not in index:
-                    index[after] = len(index)
-                    todo.append(after)
-                row.append(index[after])
-            k = index[state]
-            rows[k] = row
-            found = [(0 if node < 0 else used, -1 - node if node < 0 else ends[node]) for node, used in state if node < 0 or (node and ends[node] >= 0 and used <= allowed[node])]
-            low = min(found, default=(0, -1))
-            best[k], typo[k] = low[1], low[0] > 0
-        n = len(index)
-        self.step = np.array([rows[k] for k in range(n)], np.int32)
-        self.best = np.array([best[k] for k in range(n)], np.int32)
-        self.typo = np.array([typo[k] for k in range(n)], bool)
-        return self
+            node, used = todo.pop()
+            if node < 0:
+                continue
+            for child in self.nodes[node].values():
+                if used + 1 <= self.edits[child] and used + 1 < active.get(child, 9):
+                    active[child] = used + 1
+                    todo.append((child, used + 1))
+        return frozenset(active.items())
+
+    def _follow(self, state: frozenset, c: str | None) -> frozenset:
+        out: dict[int, int] = {}
+
+        def put(node: int, used: int) -> None:
+            if used < out.get(node, 9):
+                out[node] = used
+
+        for node, used in state:
+            if node < 0:
+                put(node, 0)
+                continue
+            if c is not None and c in self.nodes[node]:
+                child = self.nodes[node][c]
+                put(child, used)
+                if used == 0 and self.ends[child] >= 0 and self.entries[self.ends[child]][1]:
+                    put(-1 - self.ends[child], 0)
+            if used + 1 <= self.edits[node]:
+                put(node, used + 1)  # an added letter
+            for child in self.nodes[node].values():
+                if used + 1 <= self.edits[child]:
+                    put(child, used + 1)  # another letter
+        return self._closed(out)
+
+    def _known(self, state: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """The states that follow, worked out where they are not known yet."""
+        out = self._step[state, kind]
+        if (out < 0).any():
+            letters = [None, *self.classes]
+            new = np.unique(state[out < 0].astype(np.int64) * len(letters) + kind[out < 0])
+            for k, c in zip((new // len(letters)).tolist(), (new % len(letters)).tolist()):
+                after = self._state(self._follow(self._sets[k], letters[c]))  # may move the table
+                self._step[k, c] = after
+            out = self._step[state, kind]
+        return out
 
     def match(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Which of the words match, their entries, and whether with an edit."""
-        assert self.step is not None and self.best is not None and self.typo is not None
+        if len(self._sets) > MOST_STATES:
+            self._forget()
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        table = np.zeros(0x110000, np.uint8)
+        table = np.zeros(0x110000, np.uint16)
         for c, k in self.classes.items():
             table[ord(c)] = k
         kind = table[code]
         starts = np.cumsum(lengths) - lengths
-        who, state, k = np.flatnonzero(lengths > 0), None, 0
+        who, k = np.flatnonzero(lengths > 0), 0
         state = np.ones(len(who), np.int32)
         out = np.full(len(words), 0, np.int32)
         while len(who):
-            state = self.step[state, kind[starts[who] + k]]
+            state = self._known(state, kind[starts[who] + k])
             k += 1
             over = lengths[who] == k
             out[who[over]] = state[over]
             go = ~over & (state > 0)
             who, state = who[go], state[go]
-        hit = np.flatnonzero(self.best[out] >= 0)
-        return hit, self.best[out[hit]], self.typo[out[hit]]
+        hit = np.flatnonzero(self._best[out] >= 0)
+        return hit, self._best[out[hit]], self._typo[out[hit]]
 
 
 def words_of(text: str) -> list[str]:
@@ -169,29 +195,40 @@ def features(batch: list[str], lexicon: Lexicon) -> np.ndarray:
     hit, entry, typo = lexicon.match([w for x in split for w in x])
     weight = np.array([w for _, _, w in lexicon.entries] or [0.0])
     doc = np.searchsorted(ends, hit, side="right")
-    for d in np.unique(doc).tolist():
-        own = doc == d
-        places, text, words = (hit[own] - (ends[d] - sizes[d])).tolist(), batch[d], split[d]
-        spans = list(_WORD.finditer(text.lower())) if any(q in text for q in _QUOTES) or not _REPORT.isdisjoint(words) else None
-        direct, quoted, spelt, closest, addressed, kinds = 0.0, 0.0, 0, 0.0, 0, set()
-        values = weight[entry[own]]
-        for k, (at, value) in enumerate(zip(places, values.tolist())):
-            near = words[max(0, at - CONTEXT) : at + CONTEXT + 1]
-            is_quoted = not _REPORT.isdisjoint(words[max(0, at - CONTEXT) : at])
-            if spans is not None and not is_quoted and at < len(spans):
-                begin = spans[at].start()
-                line = text.rfind("\n", 0, begin) + 1
-                is_quoted = sum(text.count(q, line, begin) for q in _QUOTES) % 2 == 1
-            if is_quoted:
+    found, begins = np.unique(doc, return_index=True)
+    for d, a, z in zip(found.tolist(), begins.tolist(), [*begins[1:].tolist(), len(doc)]):
+        words = split[d]
+        places = (hit[a:z] - (ends[d] - sizes[d])).tolist()
+        quoted_by_marks = _inside_quotes(batch[d].lower(), places)
+        direct, quoted, spelt, closest, addressed, low, high = 0.0, 0.0, 0, 0.0, 0, 0, 0
+        for at, value, odd, marked in zip(places, weight[entry[a:z]].tolist(), typo[a:z].tolist(), quoted_by_marks):
+            if marked or not _REPORT.isdisjoint(words[max(0, at - CONTEXT) : at]):
                 quoted += value
             else:
                 direct += value
-                addressed += not _ADDRESS.isdisjoint(near)
-                together = sum(1 for other in places[max(0, k - 8) : k + 9] if abs(other - at) <= CONTEXT)
-                closest = max(closest, value * together)
-            spelt += bool(typo[own][k])
-            kinds.add(int(entry[own][k]))
-        out[d] = [math.log1p(direct), math.log1p(quoted), math.log1p(spelt), math.log1p(closest), math.log1p(addressed), math.log1p(len(kinds)), 100 * len(places) / (len(words) + 50)]
+                addressed += not _ADDRESS.isdisjoint(words[max(0, at - CONTEXT) : at + CONTEXT + 1])
+                while places[low] < at - CONTEXT:
+                    low += 1
+                while high < len(places) and places[high] <= at + CONTEXT:
+                    high += 1
+                closest = max(closest, value * (high - low))
+            spelt += odd
+        kinds = len(np.unique(entry[a:z]))
+        out[d] = [math.log1p(direct), math.log1p(quoted), math.log1p(spelt), math.log1p(closest), math.log1p(addressed), math.log1p(kinds), 100 * len(places) / (len(words) + 50)]
+    return out
+
+
+def _inside_quotes(text: str, places: list[int]) -> list[bool]:
+    """For the words at these places, in order, whether an odd number of quotation marks stands before them on their line."""
+    marks = [m.start() for m in _QUOTE.finditer(text)]
+    if not marks:
+        return [False] * len(places)
+    breaks = [m.start() for m in regex.finditer("\n", text)]
+    begins = [m.start() for m in _WORD.finditer(text)]
+    out = []
+    for at in places:
+        line = bisect_left(breaks, begins[at])
+        out.append((bisect_left(marks, begins[at]) - bisect_left(marks, breaks[line - 1] if line else 0)) % 2 == 1)
     return out
 
 
@@ -204,7 +241,7 @@ def _evidence(t: np.ndarray, c: np.ndarray, toxic: int, clean: int) -> np.ndarra
     return np.where(p > rate, gain, 0)
 
 
-def learn_lexicon(counts: dict[str, tuple[int, int]], stems: dict[str, tuple[int, int]], toxic: int, clean: int, most: int = LEXICON) -> Lexicon:
+def learn_lexicon(counts: dict[str, tuple[int, int]], stems: dict[str, tuple[int, int]], toxic: int, clean: int) -> Lexicon:
     """From document counts (toxic, other) of words and of stems."""
     found = []
     bar = math.log(max(len(counts) + len(stems), 2)) + 2
@@ -217,14 +254,17 @@ def learn_lexicon(counts: dict[str, tuple[int, int]], stems: dict[str, tuple[int
         odds = np.log((t + 0.5) / (toxic + 1)) - np.log((c + 0.5) / (clean + 1))
         for k in np.flatnonzero((gain > bar) & (odds > 2) & (t >= 3)):
             found.append((float(gain[k]) * (1 if stem else 1.1), names[k], stem, float(odds[k])))  # a stem has to add other endings
-    chosen: list[tuple[str, bool, float]] = []
+    # the strongest first; what a chosen stem covers adds nothing, and a stem weaker than an entry that it covers is left out
+    chosen: dict[tuple[str, bool], float] = {}
+    under: dict[str, list[tuple[str, bool]]] = {}
     for _, name, stem, odds in sorted(found, key=lambda x: (-x[0], x[1])):
-        if any(name.startswith(x) if s else (stem and x.startswith(name)) for x, s, _ in chosen):
+        if any((name[:k], True) in chosen for k in range(STEM_FROM, STEM_TO + 1)) or (stem and under.get(name)):
             continue
-        chosen = [x for x in chosen if not (stem and x[0].startswith(name))] + [(name, stem, odds)]
-        if len(chosen) >= most:
-            break
-    return Lexicon(chosen).build()
+        chosen[(name, stem)] = odds
+        for k in range(STEM_FROM, STEM_TO + 1):
+            if len(name) >= k:
+                under.setdefault(name[:k], []).append((name, stem))
+    return Lexicon([(name, stem, odds) for (name, stem), odds in chosen.items()]).build()
 
 
 @dataclass

@@ -146,6 +146,22 @@ def test_line_dedup_second_round(spark, monkeypatch):
     test_line_dedup(spark, docs.withColumn("x", F.lit(1)))
 
 
+@pytest.mark.parametrize(("busy", "busiest", "rounds"), [(2, 1000, 3), (3, 2, 2), (2, 1000, 1)])
+def test_line_dedup_frequent_tokens(spark, docs, monkeypatch, busy, busiest, rounds):
+    """Frequent tokens go to later rounds, to the end of the order or to split buckets; the rows stay the same."""
+    for name, value in (("BUSY", busy), ("HEAVY", busy), ("BUSIEST", busiest), ("ROUNDS", rounds), ("NEAR", 1), ("PARTS", 3)):
+        monkeypatch.setattr(linededup, name, value)
+    test_line_dedup(spark, docs)
+
+
+def test_line_dedup_clashing_names(spark):
+    rows = [(1, "a b c d e f\nx", "mine", 1, "p"), (2, "a b c d e f", "mine", 2, "q"), (2, "a b c d e f", "mine", 3, "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, N_REMOVED string, h long, `a.b` string")
+    got = linededup.dedup_lines(docs)
+    assert got.columns == ["doc_id", "text", "h", "a.b", "n_lines", "n_removed"]
+    assert sorted(map(tuple, got.collect())) == [(1, "a b c d e f\nx", 1, "p", 2, 0), (2, "", 2, "q", 1, 1), (2, "", 3, "q", 1, 1)]
+
+
 def test_suffixes(spark, docs):
     def brute(rows, n):
         seen = collections.Counter(b[i : i + n] for b in rows for i in range(len(b) - n + 1))
@@ -166,7 +182,7 @@ def test_suffixes(spark, docs):
     assert counted(got.collect()) == counted(want)
     assert sum(w[2] for w in want) > 10000
     # anchors that are never gathered give the same intervals
-    keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.lit(7).cast("long").alias("key2"), F.coalesce("text", F.lit("")).alias("text"))
 
     def points(most):
         return {(r["key"], p) for r in suffixes.covered(keyed, group_most=most).collect() for p in range(r["start"], r["end"])}
