@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ FOOTER = r"(?i)제보는|◎공감언론|저작권자\s*[(<ⓒ©]|재배포\s*
 TIME_TITLE = r"(?U)(?:첫째|둘째|셋째|넷째|다섯째|여섯째|일곱째|여덟째|아홉째|열째)\s*(?:날|일)|\d+\s*(?:일차|일째|주차|차)\b"
 ATTRIBUTE_TITLE = r"(?U)(?:^|\s)(?:찬성|반대|긍정|부정|옹호|비판)(?:측|파|론|층|여론|입장|쪽|적)?(?=$|\s)"
 CATEGORY_TITLE = r"(?U)^(?:정치|경제|사회|국제|문화|스포츠|IT|연예)\s*(?:뉴스|소식|이슈|전체|종합)?$"
-SENTENCE_END = r"(?U)(?<=[.!?。！？])\s+"
+SENTENCE_END =r"(?U)(?<=[.!?。！？])\s+"
 TITLE_TAIL = r"(?U)[\s.,!?;:。！？，；：、]+$"
 SUMMARY_SENTENCES, SUMMARY_CHARS, TITLE_CHARS = 4, 700, 30
 TITLE_BREAK_SHARE, FOOTER_FROM, FOOTER_BACK, FOOTER_LEAST, LONG_TEXT = 0.65, 0.6, 150, 100, 8000
@@ -63,26 +65,38 @@ def occurrences(text: Column, part: str) -> Column:
     return ((F.char_length(text) - F.char_length(F.replace(text, F.lit(part), F.lit("")))) / len(part)).cast("int")
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once a row: a lambda's variable is not inlined, whatever number of times it is named."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _words_in(low: Column, words: list[str]) -> Column:
+    return F.array_compact(F.array(*[F.when(F.contains(low, F.lit(w.lower())), F.lit(w)) for w in words]))
+
+
 def keyword_hits(text: Column, words: list[str]) -> Column:
     """The words that occur, case-insensitively, in their order."""
-    low = F.lower(text)
-    return F.array_compact(F.array(*[F.when(F.contains(low, F.lit(w.lower())), F.lit(w)) for w in words]))
+    return once(F.lower(text), lambda low: _words_in(low, words))
 
 
 def cleanup_reasons(x: Column) -> Column:
-    """Why a text needs cleaning, in a fixed order; empty if it does not."""
-    text = clean_string(x)
-    hits, strong = keyword_hits(text, BOILERPLATE), keyword_hits(text, STRONG_BOILERPLATE)
-    related = sum((occurrences(text, w) for w in RELATED[1:]), occurrences(text, RELATED[0]))
-    share = sum((occurrences(text, w) for w in SHARE[1:]), occurrences(text, SHARE[0]))
-    found = F.array(
-        F.when(F.char_length(text) > LONG_TEXT, F.lit("too_long")),
-        F.when(F.size(hits) >= 2, F.concat(F.lit("boilerplate_keywords:"), F.array_join(F.slice(hits, 1, 5), ","))),
-        F.when(F.size(strong) > 0, F.concat(F.lit("strong_boilerplate:"), F.array_join(F.slice(strong, 1, 3), ","))),
-        F.when(related >= 2, F.lit("repeated_related_articles")),
-        F.when(share >= 2, F.lit("share_ui_noise")),
-    )
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.array_compact(found))
+    """Why a text needs cleaning, in a fixed order; empty if it does not. The text is cleaned and lowered once a row."""
+
+    def reasons(s: Column) -> Column:
+        text, low = s["text"], s["low"]
+        hits, strong = _words_in(low, BOILERPLATE), _words_in(low, STRONG_BOILERPLATE)
+        related = sum((occurrences(text, w) for w in RELATED[1:]), occurrences(text, RELATED[0]))
+        share = sum((occurrences(text, w) for w in SHARE[1:]), occurrences(text, SHARE[0]))
+        found = F.array(
+            F.when(F.char_length(text) > LONG_TEXT, F.lit("too_long")),
+            once(hits, lambda h: F.when(F.size(h) >= 2, F.concat(F.lit("boilerplate_keywords:"), F.array_join(F.slice(h, 1, 5), ",")))),
+            once(strong, lambda h: F.when(F.size(h) > 0, F.concat(F.lit("strong_boilerplate:"), F.array_join(F.slice(h, 1, 3), ",")))),
+            F.when(related >= 2, F.lit("repeated_related_articles")),
+            F.when(share >= 2, F.lit("share_ui_noise")),
+        )
+        return F.when(text == "", F.array().cast("array<string>")).otherwise(F.array_compact(found))
+
+    return once(clean_string(x), lambda text: once(F.struct(text.alias("text"), F.lower(text).alias("low")), reasons))
 
 
 def strip_footer(text: Column) -> Column:
