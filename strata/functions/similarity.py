@@ -26,29 +26,40 @@ def _letters(x: Column) -> Column:
     return F.filter(F.split(F.coalesce(x, F.lit("")), ""), lambda c: c != "")
 
 
-def multiset_bound(a: Column, b: Column) -> Column:
-    """An upper bound from the letters that both have, with their counts."""
-    x, y = _letters(a), _letters(b)
-    shared = F.aggregate(F.array_distinct(x), F.lit(0), lambda s, c: s + F.least(F.size(F.filter(x, lambda t: t == c)), F.size(F.filter(y, lambda t: t == c))))
+def numbered_letters(x: Column) -> Column:
+    """Each letter with the number of its occurrence: two titles share as many of these as letters with their counts."""
+    return F.get(F.transform(F.array(F.array_sort(_letters(x))), lambda s: F.transform(s, lambda c, i: F.concat(c, (i + 1 - F.array_position(s, c)).cast("string")))), 0)
+
+
+def letters_bound(x: Column, y: Column) -> Column:
+    """An upper bound of the similarity from the numbered letters of both titles."""
     total = F.size(x) + F.size(y)
-    return F.when(total == 0, F.lit(1.0)).otherwise(F.try_divide(2.0 * shared, total))
+    return F.when(total == 0, F.lit(1.0)).otherwise(F.try_divide(2.0 * F.size(F.array_intersect(x, y)), total))
+
+
+def multiset_bound(a: Column, b: Column) -> Column:
+    """An upper bound from the letters that both titles have, with their counts."""
+    return letters_bound(numbered_letters(a), numbered_letters(b))
 
 
 def similar_pairs(items: DataFrame, bucket: str, key: str, title: str, least: float) -> DataFrame:
     """Pairs (a before b by key) in one bucket whose titles are at least `least` similar.
 
-    The bucket is the equi-join key; both bounds are part of the plan before the UDF, which sees only what they leave.
+    The bucket is the equi-join key; both bounds are part of the join, before the UDF, which sees only what they leave. Letters
+    are numbered once a title, before the join.
     """
-    a, b = items.select(F.col(bucket), F.col(key).alias("a"), F.col(title).alias("title_a")), items.select(F.col(bucket).alias("_bucket"), F.col(key).alias("b"), F.col(title).alias("title_b"))
-    near = a.join(b, (F.col(bucket) == F.col("_bucket")) & (F.col("a") < F.col("b")) & (length_bound(F.col("title_a"), F.col("title_b")) >= least)).drop("_bucket")
-    near = near.where(multiset_bound(F.col("title_a"), F.col("title_b")) >= least)
+    side = lambda name: items.select(F.col(bucket).alias(f"_bucket_{name}"), F.col(key).alias(name), F.col(title).alias(f"title_{name}"), numbered_letters(F.col(title)).alias(f"_letters_{name}"))
+    same = (F.col("_bucket_a") == F.col("_bucket_b")) & (F.col("a") < F.col("b"))
+    bounds = (length_bound(F.col("title_a"), F.col("title_b")) >= least) & (letters_bound(F.col("_letters_a"), F.col("_letters_b")) >= least)
+    near = side("a").join(side("b"), same & bounds).select(F.col("_bucket_a").alias(bucket), "a", "title_a", "b", "title_b")
     return near.withColumn("similarity", title_similarity("title_a", "title_b")).where(F.col("similarity") >= least)
 
 
 def find_duplicate(new: DataFrame, existing: DataFrame, scope: str, least: float = 0.85) -> DataFrame:
     """For each new (id, scope, title) the most similar existing title of its scope; the smaller existing id wins ties."""
-    e = existing.select(F.col(scope), F.col("id").alias("existing_id"), F.col("title").alias("existing_title"))
-    near = new.select(F.col("id"), F.col(scope), F.col("title")).join(e, scope).where(length_bound(F.col("title"), F.col("existing_title")) >= least)
+    e = existing.select(F.col(scope), F.col("id").alias("existing_id"), F.col("title").alias("existing_title"), numbered_letters(F.col("title")).alias("_theirs"))
+    near = new.select(F.col("id"), F.col(scope), F.col("title"), numbered_letters(F.col("title")).alias("_own")).join(e, scope)
+    near = near.where((length_bound(F.col("title"), F.col("existing_title")) >= least) & (letters_bound(F.col("_own"), F.col("_theirs")) >= least))
     near = near.withColumn("similarity", title_similarity("title", "existing_title")).where(F.col("similarity") >= least)
     best = near.groupBy("id").agg(F.max(F.struct("similarity", (-F.col("existing_id")).alias("k"))).alias("best"))
     return best.select("id", (-F.col("best.k")).alias("existing_id"), F.col("best.similarity").alias("similarity"))
