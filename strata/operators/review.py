@@ -48,9 +48,10 @@ def suspicion(members: DataFrame, weak: float = WEAK_DISTANCE) -> DataFrame:
 
 
 def sample(scored: DataFrame, targeted: int = 20, control: int = 5, seed: str = "0") -> DataFrame:
-    """The most suspicious clusters of two or more, and a control sample of the others in the order of a seeded hash."""
+    """The most suspicious clusters of two or more, of those with a weak member, and a control sample of the others in the
+    order of a seeded hash."""
     pool = scored.where("size >= 2")
-    top = pool.orderBy(F.desc("weak_count"), F.desc_nulls_last("max_distance"), F.desc("size"), "cluster").limit(targeted)
+    top = pool.where("weak_count > 0").orderBy(F.desc("weak_count"), F.desc_nulls_last("max_distance"), F.desc("size"), "cluster").limit(targeted)
     rest = pool.join(top.select("cluster"), "cluster", "left_anti")
     other = rest.orderBy(F.md5(F.concat(F.lit(f"{seed}|"), F.col("cluster").cast("string"))), "cluster").limit(control)
     return top.withColumn("selection", F.lit("targeted")).unionByName(other.withColumn("selection", F.lit("control")))

@@ -213,7 +213,7 @@ def rubric_title_patterns(spark, d):
 _SCORED = "s AS (SELECT user_id AS cluster, count(*) AS size, count(CASE WHEN event_id % 3 <> 0 THEN value END) AS known, count(*) FILTER (WHERE event_id % 3 <> 0 AND value >= 60) AS weak_count, max(CASE WHEN event_id % 3 <> 0 THEN value END) AS max_distance FROM events GROUP BY 1)"
 
 
-@query(f"""WITH {_SCORED}, p AS (SELECT * FROM s WHERE size >= 2), t AS (SELECT * FROM p ORDER BY weak_count DESC, max_distance DESC NULLS LAST, size DESC, cluster LIMIT 20), c AS (SELECT * FROM p WHERE cluster NOT IN (SELECT cluster FROM t) ORDER BY md5('7|' || CAST(cluster AS VARCHAR)), cluster LIMIT 5)
+@query(f"""WITH {_SCORED}, p AS (SELECT * FROM s WHERE size >= 2), t AS (SELECT * FROM p WHERE weak_count > 0 ORDER BY weak_count DESC, max_distance DESC NULLS LAST, size DESC, cluster LIMIT 20), c AS (SELECT * FROM p WHERE cluster NOT IN (SELECT cluster FROM t) ORDER BY md5('7|' || CAST(cluster AS VARCHAR)), cluster LIMIT 5)
 SELECT cluster, 'targeted' AS selection FROM t UNION ALL SELECT cluster, 'control' FROM c""")
 def worklist_sample(spark, d):
     e = table(spark, d, "events").select(F.col("user_id").alias("cluster"), F.col("event_id").alias("item"), F.when(F.col("event_id") % 3 != 0, F.col("value")).alias("distance"))
