@@ -16,6 +16,7 @@ FOOTER = r"(?i)제보는|◎공감언론|저작권자\s*[(<ⓒ©]|재배포\s*
 TIME_TITLE = r"(?U)(?:첫째|둘째|셋째|넷째|다섯째|여섯째|일곱째|여덟째|아홉째|열째)\s*(?:날|일)|\d+\s*(?:일차|일째|주차|차)\b"
 ATTRIBUTE_TITLE = r"(?U)(?:^|\s)(?:찬성|반대|긍정|부정|옹호|비판)(?:측|파|론|층|여론|입장|쪽|적)?(?=$|\s)"
 CATEGORY_TITLE = r"(?U)^(?:정치|경제|사회|국제|문화|스포츠|IT|연예)\s*(?:뉴스|소식|이슈|전체|종합)?$"
+NAMING_CODES = {"empty": "empty", "time": "S-2 시간구분형", "attribute": "S-3 속성형", "event": "S-1 이벤트복사형", "parent": "S-4 부모동일범위형"}
 SENTENCE_END =r"(?U)(?<=[.!?。！？])\s+"
 TITLE_TAIL = r"(?U)[\s.,!?;:。！？，；：、]+$"
 SUMMARY_SENTENCES, SUMMARY_CHARS, TITLE_CHARS = 4, 700, 30
@@ -130,8 +131,15 @@ def is_category_title(x: Column) -> Column:
 
 
 def naming_violation(title: Column, event_similarity: Column, parent_similarity: Column, copy: float = 0.90, scope: float = 0.85) -> Column:
-    """The first rule that a subtopic title breaks, null if none; similarities come from the caller."""
-    return F.when(F.coalesce(title, F.lit("")) == "", "empty").when(is_time_title(title), "S-2").when(is_attribute_title(title), "S-3").when(event_similarity >= copy, "S-1").when(parent_similarity >= scope, "S-4")
+    """The first rule that a subtopic title breaks, as its code, null if none. The similarities are those of the title to its
+    event's and to its parent's title (`similarity.title_similarity`)."""
+    return (
+        F.when(F.coalesce(title, F.lit("")) == "", NAMING_CODES["empty"])
+        .when(is_time_title(title), NAMING_CODES["time"])
+        .when(is_attribute_title(title), NAMING_CODES["attribute"])
+        .when(event_similarity >= copy, NAMING_CODES["event"])
+        .when(parent_similarity >= scope, NAMING_CODES["parent"])
+    )
 
 
 def member_class(n: Column) -> Column:

@@ -103,12 +103,17 @@ def quote_containment(spark, d):
     return table(spark, d, "documents").select("doc_id", text.holds_quote(t, F.concat(F.substring(t, 11, 12), F.lit("\n"))).alias("found"))
 
 
-@query("""SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 'empty' WHEN p_partkey % 7 = 1 THEN 'S-2' WHEN p_partkey % 7 = 2 THEN 'S-3' WHEN p_size / 50.0 >= 0.9 THEN 'S-1' WHEN p_size / 50.0 >= 0.85 THEN 'S-4' END AS rule FROM part""")
+# A title and the same title with k further characters share one block, the title: their similarity is 2n / (2n + k).
+_SAME = "2::DOUBLE * length(p_name) / (2 * length(p_name) + {})"
+
+
+@query(f"""SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 'empty' WHEN p_partkey % 7 = 1 THEN 'S-2 시간구분형' WHEN p_partkey % 7 = 2 THEN 'S-3 속성형' WHEN {_SAME.format('p_size % 13')} >= 0.9::DOUBLE THEN 'S-1 이벤트복사형' WHEN {_SAME.format('p_size % 17')} >= 0.85::DOUBLE THEN 'S-4 부모동일범위형' END AS rule FROM part""")
 def naming_rules(spark, d):
-    k = F.col("p_partkey") % 7
-    t = F.when(k == 0, "").when(k == 1, F.concat(F.lit("둘째 날 "), F.col("p_name"))).when(k == 2, F.concat(F.col("p_name"), F.lit(" 찬성측"))).otherwise(F.col("p_name"))
-    s = F.col("p_size") / 50
-    return table(spark, d, "part").select("p_partkey", text.naming_violation(t, s, s).alias("rule"))
+    """Every rule of subtopic titles; event and parent titles are the title with more or fewer characters after it."""
+    k, name = F.col("p_partkey") % 7, F.col("p_name")
+    t = F.when(k == 0, "").when(k == 1, F.concat(F.lit("둘째 날 "), name)).when(k == 2, F.concat(name, F.lit(" 찬성측"))).otherwise(name)
+    event, parent = (F.concat(name, F.repeat(F.lit("#"), (F.col("p_size") % m).cast("int"))) for m in (13, 17))
+    return table(spark, d, "part").select("p_partkey", text.naming_violation(t, similarity.title_similarity(t, event), similarity.title_similarity(t, parent)).alias("rule"))
 
 
 @query("""SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS host, CASE WHEN contains(lower(url), 'politic') THEN '정치' WHEN contains(lower(url), 'eco') OR contains(lower(url), 'business') THEN '경제' WHEN contains(lower(url), 'world') OR contains(lower(url), 'global') THEN '국제' ELSE '사회' END AS category,
