@@ -84,19 +84,32 @@ def srcset_first(x: Column) -> Column:
     return F.coalesce(F.try_element_at(urls, F.lit(1)), F.lit(""))
 
 
+def without_dots(rooted: Column) -> Column:
+    """A rooted path with its `.` and `..` segments resolved; one that ends in them is a folder."""
+    parts = F.split(rooted, "/")
+    parts = F.slice(parts, F.lit(2), F.size(parts))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, s: F.when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).when(s == ".", acc).otherwise(F.concat(acc, F.array(s))))
+    folder = F.when(rooted.rlike(r"/\.\.?$"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.concat(F.lit("/"), F.array_join(F.concat(kept, folder), "/"))
+
+
 def normalize_image_url(value: Column, base: Column) -> Column:
-    """Absolute URL with an allowed scheme, else empty. Covers scheme-less, rooted, relative and absolute values."""
+    """Absolute URL with an allowed scheme, else empty. Covers scheme-less, rooted, relative and absolute values, dot segments
+    and values of a query or a fragment alone."""
     v = F.trim(F.coalesce(value, F.lit("")))
     scheme = F.regexp_extract(F.coalesce(base, F.lit("")), r"^(https?):", 1)
     root = F.regexp_extract(F.coalesce(base, F.lit("")), r"^(https?://[^/?#]*)", 1)
+    asked = F.regexp_extract(F.coalesce(base, F.lit("")), r"^[^?#]*(\?[^#]*)", 1)
     folder = F.regexp_replace(path(base), r"[^/]*$", "")
+    own, tail = F.regexp_extract(v, r"(?s)^([^?#]*)(.*)$", 1), F.regexp_extract(v, r"(?s)^([^?#]*)(.*)$", 2)
     out = (
         F.when((v == "") | v.rlike(r"^(?:data|blob|javascript):"), "")
         .when(F.startswith(v, F.lit("//")), F.concat(F.when(scheme != "", scheme).otherwise(F.lit("https")), F.lit(":"), v))
         .when(v.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), v)
         .when(root == "", v)
-        .when(F.startswith(v, F.lit("/")), F.concat(root, v))
-        .otherwise(F.concat(root, F.when(folder == "", F.lit("/")).otherwise(folder), v))
+        .when(F.startswith(v, F.lit("/")), F.concat(root, without_dots(own), tail))
+        .when(own == "", F.concat(root, path(base), F.when(F.startswith(v, F.lit("#")), asked).otherwise(""), tail))
+        .otherwise(F.concat(root, without_dots(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), own)), tail))
     )
     return F.when(out.rlike(r"^(?:https?|file):"), out).otherwise("")
 
@@ -117,6 +130,8 @@ def unwanted_image(url: Column) -> Column:
 
 
 def small_image(width: Column, height: Column) -> Column:
-    """Both sizes known and one of them too small."""
-    w, h = F.expr("1") * width.try_cast("int"), F.expr("1") * height.try_cast("int")
+    """Both sizes known and one of them too small; a size is the digits of its value, so that `100px` is 100."""
+    digits = lambda c: F.regexp_replace(c.cast("string"), "[^0-9]", "")
+    size = lambda c: F.when(F.char_length(digits(c)) > 18, F.lit(10**18)).otherwise(digits(c).try_cast("long"))
+    w, h = size(width), size(height)
     return F.coalesce((w < SMALL_WIDTH) | (h < SMALL_HEIGHT), F.lit(False)) & w.isNotNull() & h.isNotNull()
