@@ -5,26 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def roots(nodes: DataFrame, most_depth: int = 16) -> DataFrame:
-    """id, root, depth (a root has 1) by following parents; a parent that does not exist ends the walk, a cycle ends it at
-    most_depth. nodes: id, parent_id."""
-    spark = nodes.sparkSession
-    tree = nodes.select("id", "parent_id")
-    known = tree.select(F.col("id").alias("p"), F.col("parent_id").alias("pp"))
-    # walk up level by level; each round carries only the nodes that still have a parent
-    walk = tree.join(known, F.col("parent_id") == F.col("p"), "left").select("id", F.coalesce("p", "id").alias("root"), F.when(F.col("p").isNull(), 1).otherwise(2).alias("depth"), "pp")
-    done = []
-    for _ in range(most_depth - 2):
-        done.append(walk.where("pp is null").select("id", "root", "depth"))
-        walk = walk.where("pp is not null")
-        if walk.isEmpty():
+from strata.operators.components import durable
+
+
+def roots(nodes: DataFrame) -> DataFrame:
+    """id, root, depth (a root has 1) by following parents, however deep; a parent that does not exist ends the walk. What
+    lies on a cycle or hangs on one has no root: each such node is its own, with depth 1. nodes: id (distinct), parent_id.
+
+    A round joins each node's highest known ancestor to that ancestor's own, so that paths double: about log2 of the depth
+    rounds, each cut off by a checkpoint. A cycle shows in that more rounds have nodes on their way than the nodes could fill.
+    """
+    ids = nodes.select(F.col("id").alias("up"))
+    walk = nodes.select("id", F.col("parent_id").alias("up")).join(ids, "up", "left_semi").select("id", "up")
+    walk = durable(nodes.select("id").join(walk, "id", "left").select("id", F.col("id").alias("root"), F.lit(1).alias("depth"), "up"))
+    rounds = walk.count().bit_length() + 1
+    for _ in range(rounds):
+        going = walk.where("up is not null")
+        if going.isEmpty():
             break
-        walk = walk.withColumnRenamed("pp", "up").join(known, F.col("up") == F.col("p"), "left").select("id", F.coalesce("p", "root").alias("root"), F.when(F.col("p").isNull(), F.col("depth")).otherwise(F.col("depth") + 1).alias("depth"), "pp")
-    out = done[0] if done else spark.createDataFrame([], "id long, root long, depth int")
-    for d in [*done[1:], walk.select("id", "root", "depth")]:
-        out = out.unionByName(d)
-    return out
+        above = walk.select(F.col("id").alias("up"), F.col("root").alias("_root"), F.col("depth").alias("_depth"), F.col("up").alias("_up"))
+        further = going.join(above, "up").select("id", F.col("_root").alias("root"), (F.col("depth") + F.col("_depth")).alias("depth"), F.col("_up").alias("up"))
+        walk = durable(walk.where("up is null").unionByName(further))
+    cyclic = F.col("up").isNotNull()
+    return walk.select("id", F.when(cyclic, F.col("id")).otherwise(F.col("root")).alias("root"), F.when(cyclic, 1).otherwise(F.col("depth")).alias("depth"))
 
 
 def consistency(events: DataFrame) -> DataFrame:

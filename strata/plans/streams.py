@@ -4,13 +4,13 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from strata.operators.components import shared_folder
 from strata.plans.registry import query, table
 from strata.streaming import online
 
 
 def _folder(spark):
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
-    return f"{base}/{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def _stream(spark, d, name):
