@@ -1,6 +1,9 @@
 """Hand-computed cases and properties of the operators."""
 
+import difflib
 import math
+import random
+from urllib.parse import urljoin
 
 import numpy as np
 import pytest
@@ -219,3 +222,48 @@ def test_stream_equals_batch(spark, tmp_path):
     online.drain(online.online_clusters(online.read_table(spark, str(tmp_path / "in")), 30.0, 0.5), str(tmp_path / "out"), str(tmp_path / "cp"))
     got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()))
     assert got == sorted(map(tuple, online.batch_clusters(table, 30.0, 0.5).collect()))
+
+
+def test_image_urls(spark):
+    page = "https://x.org/news/2024/a.html?p=1#top"
+    values = ["../b/c.jpg", "./d.jpg", "../../../e.jpg", "?q=1", "#part", "f.jpg?w=2", "/g/../h.jpg", "..", "i/./j/", "//cdn.org/k.jpg", "ftp://x.org/l.jpg", "data:x", None]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, v string").select("i", web.normalize_image_url(F.col("v"), F.lit(page)).alias("u"))
+    got = {r["i"]: r["u"] for r in rows.collect()}
+    assert [got[i] for i in range(10)] == [urljoin(page, v) for v in values[:10]]
+    assert [got[i] for i in range(10, 13)] == ["", "", ""]
+    sizes = spark.createDataFrame([("100px", "400", True), ("640", "60px", True), ("640px", "480px", False), ("auto", "10", False), (None, "10", False), ("9" * 40, "10", True)], "w string, h string, small boolean")
+    assert sizes.where(web.small_image(F.col("w"), F.col("h")) != F.col("small")).count() == 0
+
+
+def test_deep_hierarchy(spark):
+    """A chain far deeper than any cap, and cycles, whose nodes are their own roots."""
+    nodes = [(i, i - 1 if i else None) for i in range(70)] + [(100, 101), (101, 100), (102, 101), (103, 103)]
+    got = {r["id"]: (r["root"], r["depth"]) for r in hierarchy.roots(spark.createDataFrame(nodes, "id long, parent_id long")).collect()}
+    assert got == {**{i: (0, i + 1) for i in range(70)}, **{i: (i, 1) for i in (100, 101, 102, 103)}}
+    assert hierarchy.roots(spark.createDataFrame([], "id long, parent_id long")).count() == 0
+
+
+def test_targeted_needs_a_weak_member(spark):
+    scored = spark.createDataFrame([(1, 3, 2, 0.5), (2, 9, 0, 0.3), (3, 2, 1, 0.6), (4, 2, 0, None), (5, 1, 1, 0.9)], "cluster long, size long, weak_count long, max_distance double")
+    got = {r["cluster"]: r["selection"] for r in review.sample(scored, 20, 5).collect()}
+    assert got == {1: "targeted", 2: "control", 3: "targeted", 4: "control"}
+
+
+def test_similar_pairs_by_brute_force(spark):
+    r = random.Random(5)
+    titles = [(i, f"b{i % 3}", "".join(r.choice("abcd ") for _ in range(r.randint(0, 9)))) for i in range(90)] + [(90, "b0", None), (91, "b0", "")]
+    rows = spark.createDataFrame(titles, "id long, bucket string, title string")
+    got = {(x["a"], x["b"]): x["similarity"] for x in similarity.similar_pairs(rows, "bucket", "id", "title", 0.7).collect()}
+    ratio = lambda x, y: difflib.SequenceMatcher(None, x or "", y or "").ratio()
+    assert got == {(a, b): s for a, p, x in titles for b, q, y in titles if a < b and p == q and (s := ratio(x, y)) >= 0.7} and got
+    best = {x["id"]: (x["existing_id"], x["similarity"]) for x in similarity.find_duplicate(rows.where("id % 5 = 0"), rows.where("id % 5 <> 0"), "bucket", 0.7).collect()}
+    want = {a: max(((s, -b) for b, q, y in titles if b % 5 and p == q and (s := ratio(x, y)) >= 0.7), default=None) for a, p, x in titles if a % 5 == 0}
+    assert best == {a: (-k, s) for a, found in want.items() if found for s, k in [found]}
+
+
+def test_cleanup_reasons(spark):
+    rows = spark.createDataFrame([("구독 공유하기  URL 복사 페이스북",), ("Copyright 관련기사 관련 기사",), ("",), (None,), ("a" * 8001,), ("plain",)], "t string")
+    got = [x[0] for x in rows.select(text.cleanup_reasons(F.col("t"))).collect()]
+    assert got[2:] == [[], [], ["too_long"], []]
+    assert got[0] == ["boilerplate_keywords:구독,페이스북,url 복사,공유하기", "strong_boilerplate:url 복사", "share_ui_noise"]
+    assert got[1] == ["boilerplate_keywords:관련기사,관련 기사,copyright", "strong_boilerplate:copyright", "repeated_related_articles"]
