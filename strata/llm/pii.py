@@ -52,7 +52,7 @@ _DIGIT = regex.compile(r"[0-9]")
 _NOT_DIGITS = regex.compile(r"[^0-9]+")
 
 # Wide patterns of candidates. 64 and 63 are the greatest lengths of a mailbox and of a domain's label; no other length is capped.
-_AT = regex.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\s?(?:@|[\[({]\s?(?:at|@)\s?[\])}]|\s(?:at|AT)\s)\s?(?:[A-Za-z0-9-]{1,63}+(?:\.|\s?[\[({]\s?(?:dot|DOT|\.)\s?[\])}]\s?|\s(?:dot|DOT)\s))++[A-Za-z]{2,63}+(?![A-Za-z0-9])")
+_AT = regex.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\s?(?:@|[\[({]\s?(?:at|@)\s?[\])}]|\s(?:at|AT)\s)\s?(?:[A-Za-z0-9-]{1,63}+(?:\.|\s\.\s|\s?[\[({]\s?(?:dot|DOT|\.)\s?[\])}]\s?|\s(?:dot|DOT)\s))++[A-Za-z]{2,63}+(?![A-Za-z0-9])")
 # What any match of _AT holds.
 _AT_SIGN = regex.compile(r"@|[\[({]\s?at\s?[\])}]|\s(?:at|AT)\s\s?[A-Za-z0-9-]{1,63}+\s?(?:[.\[({]|\s?(?:dot|DOT)\s)")
 _NUMBERS = regex.compile(r"(?<![0-9])[(+]?[0-9](?:[\x20().:/-]{0,2}[0-9])++(?![0-9])")
