@@ -72,13 +72,15 @@ def _cell(token: Column) -> Column:
 
 
 def _frequent(spark, found: dict[int, int]) -> DataFrame:  # noqa: ANN001
-    """One row (one, cells, ranks): a frequent token stands in its hash's cell, with its class; of two in a cell the more
-    frequent one. A token that finds no place only stays early in the order."""
-    cells, ranks = [0] * CELLS, [0] * CELLS
-    order = sorted((n, t) for t, n in found.items())
-    for k, (_, t) in enumerate(order):
-        cells[t % CELLS], ranks[t % CELLS] = t, 1 + RANKS * k // len(order)
-    return spark.createDataFrame([(1, cells, ranks)], "one int, cells array<long>, ranks array<tinyint>")
+    """One stored row (one, cells, ranks): a frequent token stands in its hash's cell, with its class; of two in a cell the
+    more frequent one. A token that finds no place only stays early in the order."""
+    order = ",".join(str(t) for _, t in sorted((n, t) for t, n in found.items()))
+    given = spark.range(0, 1, 1, 1).select(F.posexplode(F.split(F.lit(order), ",")).alias("k", "t")).select("k", F.col("t").cast("long").alias("t"))
+    taken = given.groupBy(_cell(F.col("t")).alias("cell")).agg(F.max(F.struct("k", "t")).alias("x"))
+    rank = F.floor(F.col("x.k") * RANKS / len(found)) + 1
+    every = spark.range(0, CELLS, 1, 1).select(F.col("id").cast("int").alias("cell")).join(F.broadcast(taken), "cell", "left")  # BUSIEST + REPORTED rows at most a round
+    cells = every.agg(F.sort_array(F.collect_list(F.struct("cell", F.coalesce("x.t", F.lit(0)).alias("t"), F.coalesce(rank, F.lit(0)).cast("tinyint").alias("r")))).alias("all"))
+    return stored(cells.select(F.lit(1).alias("one"), F.transform("all", lambda s: s["t"]).alias("cells"), F.transform("all", lambda s: s["r"]).alias("ranks")))
 
 
 def _rank(token: Column) -> Column:
