@@ -35,7 +35,8 @@ def last_index(text: Column, part: str) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, SENTENCE_END), F.trim), lambda s: s != "")
+    # a lambda, as transform would hand its index to a function of two parameters, and trim would take it as characters to trim
+    return F.filter(F.transform(F.split(text, SENTENCE_END), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def first_sentences(x: Column, n: int = SUMMARY_SENTENCES) -> Column:

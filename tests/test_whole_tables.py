@@ -146,3 +146,12 @@ def test_groupings_take_all_orders(spark, tmp_path):
     assert {(x["topic"], x["a"], x["b"]) for x in got["group_jaccard"]} == {(t, n, m) for t, n, i in left for u, m, j in right if (t, i) == (u, j)}
     assert len(got["grouping_alignment"]) == len({t for t, _, _ in left} & {t for t, _, _ in right})
     assert sum(x["members"] for x in got["incremental_application"]) == len(left | {(t, m.replace("m", "n"), i) for t, m, i in right})
+
+
+NUMBERED = "0 zero 0. 1 one 1. 2 two 2. 3 three 3. 4 four 4. 5 five 5."
+
+
+def test_first_sentences_keep_their_digits(spark, tmp_path):
+    save(spark, tmp_path, "documents", "doc_id long, text string", [(1, NUMBERED), (2, "A. pin 4111"), (3, "A.\n28.6 b. c  "), (4, None)])
+    got = {x["doc_id"]: x["head"] for x in same_as_sql(spark, "first_sentences", tmp_path, "documents")}
+    assert got == {1: "0 zero 0. 1 one 1. 2 two 2. 3 three 3.", 2: "A. pin 4111", 3: "A. 28.6 b. c", 4: ""}
