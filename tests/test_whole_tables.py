@@ -155,3 +155,10 @@ def test_first_sentences_keep_their_digits(spark, tmp_path):
     save(spark, tmp_path, "documents", "doc_id long, text string", [(1, NUMBERED), (2, "A. pin 4111"), (3, "A.\n28.6 b. c  "), (4, None)])
     got = {x["doc_id"]: x["head"] for x in same_as_sql(spark, "first_sentences", tmp_path, "documents")}
     assert got == {1: "0 zero 0. 1 one 1. 2 two 2. 3 three 3.", 2: "A. pin 4111", 3: "A. 28.6 b. c", 4: ""}
+
+
+def test_summaries_keep_their_digits(spark, tmp_path):
+    long = "1 " + "word " * 40 + "1. 2 " + "more " * 30 + "end 2."
+    save(spark, tmp_path, "documents", "doc_id long, text string", [(1, NUMBERED), (2, "A. pin 4111"), (3, "First. " + long)])
+    got = {x["doc_id"]: x["summary"] for x in same_as_sql(spark, "normalize_summary", tmp_path, "documents")}
+    assert got == {1: "0 zero 0. 1 one 1. 2 two 2. 3 three 3.", 2: "A. pin 4111", 3: "First. 1 " + "word " * 40 + "1."}
