@@ -157,6 +157,12 @@ def test_first_sentences_keep_their_digits(spark, tmp_path):
     assert got == {1: "0 zero 0. 1 one 1. 2 two 2. 3 three 3.", 2: "A. pin 4111", 3: "A. 28.6 b. c", 4: ""}
 
 
+def test_image_filter_leaves_out_the_host_of_the_page(spark, tmp_path):
+    save(spark, tmp_path, "pages", "page_id long, url string", [(k, f"https://m.ads-track.example.com/en/{k}#top") for k in range(10)])
+    got = {x["page_id"]: x["unwanted"] for x in same_as_sql(spark, "image_url_filter", tmp_path, "pages")}
+    assert got == {k: k in (0, 3, 4, 5, 7) for k in range(10)}
+
+
 def test_summaries_keep_their_digits(spark, tmp_path):
     long = "1 " + "word " * 40 + "1. 2 " + "more " * 30 + "end 2."
     save(spark, tmp_path, "documents", "doc_id long, text string", [(1, NUMBERED), (2, "A. pin 4111"), (3, "First. " + long)])
