@@ -168,3 +168,37 @@ def test_summaries_keep_their_digits(spark, tmp_path):
     save(spark, tmp_path, "documents", "doc_id long, text string", [(1, NUMBERED), (2, "A. pin 4111"), (3, "First. " + long)])
     got = {x["doc_id"]: x["summary"] for x in same_as_sql(spark, "normalize_summary", tmp_path, "documents")}
     assert got == {1: "0 zero 0. 1 one 1. 2 two 2. 3 three 3.", 2: "A. pin 4111", 3: "First. 1 " + "word " * 40 + "1."}
+
+
+def test_titles_are_compared_once_whatever_their_copies(spark, monkeypatch):
+    import difflib
+
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from strata.functions import similarity
+
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("double")
+    def counted(a: pd.Series, b: pd.Series) -> pd.Series:
+        calls.add(len(a))
+        return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
+
+    monkeypatch.setattr(similarity, "title_similarity", counted)
+    names = ["old ring", "old rings", "cold ring", "hot plate"]
+    rows = [(k, "s", names[k % 4]) for k in range(1, 401)]
+    items = spark.createDataFrame(rows, "id long, scope string, title string")
+    ratio = {(x, y): difflib.SequenceMatcher(None, x, y).ratio() for x in names for y in names}
+    best = {x["id"]: x["existing_id"] for x in similarity.find_duplicate(items.where("id % 10 = 0"), items.where("id % 10 <> 0"), "scope", 0.85).collect()}
+    assert best == {a: max((ratio[x, y], -b) for b, _, y in rows if b % 10)[1] * -1 for a, _, x in rows if a % 10 == 0}
+    assert calls.value <= 16
+    got = {(x["a"], x["b"]): x["similarity"] for x in similarity.similar_pairs(items, "scope", "id", "title", 0.8).collect()}
+    assert got == {(a, b): ratio[x, y] for a, _, x in rows for b, _, y in rows if a < b and ratio[x, y] >= 0.8}
+    assert calls.value <= 32
+
+
+def test_length_bound_of_empty_and_missing_names(spark, tmp_path):
+    names = ["", "", None, None, "a", "b", "ab", "abcdefghi", "abcdefghij"]
+    save(spark, tmp_path, "part", "p_partkey long, p_brand string, p_type string, p_name string", [(k, "x", "y", t) for k, t in enumerate(names)] + [(5, "x", "y", "ab"), (9, None, "y", "a"), (10, "x", "z", "a")])
+    assert len(same_as_sql(spark, "similarity_length_bound", tmp_path, "part")) == 4
