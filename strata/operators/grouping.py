@@ -12,6 +12,8 @@ from strata.functions.vector import cosine_distance
 from strata.operators.components import components
 
 WIDE_SHARE, ECHO, RESTATES = 0.6, 0.34, 0.55
+#: Similarities of clusters that average linkage holds at a time.
+STRIP = 4_000_000
 
 
 def validate(groups: DataFrame, valid: DataFrame) -> DataFrame:
@@ -112,41 +114,79 @@ def label_clusters(labels: DataFrame, least: float = 0.80, block: int = 1000) ->
     return out.select("topic", "label_id", F.coalesce("component", "label_id").alias("cluster"))
 
 
+def _partners(own: np.ndarray, means: np.ndarray, sizes: np.ndarray, least: float, most_size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For the clusters `own` the most similar other one that fits and exceeds `least` (the first of equals), -1 if none."""
+    best, near = np.full(len(own), -1), np.full(len(own), -np.inf)
+    step = max(1, STRIP // max(len(means), 1))
+    for k in range(0, len(own), step):
+        rows = own[k : k + step]
+        s = means[rows] @ means.T
+        s[sizes[rows][:, None] + sizes > most_size] = -np.inf
+        s[np.arange(len(rows)), rows] = -np.inf
+        at = s.argmax(1)
+        top = s[np.arange(len(rows)), at]
+        best[k : k + step], near[k : k + step] = np.where(top > least, at, -1), top
+    return best, near
+
+
+def _copies(unit: np.ndarray, least: float, most_size: int) -> list[list[int]]:
+    """Rows of one direction have the highest similarity there is, so they merge first, in their order, as far as they fit."""
+    groups: dict[bytes | int, list[int]] = {}
+    for i, v in enumerate(unit):
+        groups.setdefault(v.tobytes() if v.any() and least < 1 else i, []).append(i)
+    size = max(most_size, 1)
+    return sorted(g[k : k + size] for g in groups.values() for k in range(0, len(g), size))
+
+
 def average_linkage(vectors: np.ndarray, least: float, most_size: int) -> list[list[int]]:
-    """Merges the most similar two clusters while their mean similarity exceeds `least` and the sum of sizes fits; one
-    update of a row for each merge. Lists of rows, each sorted, in order of their first."""
-    n = len(vectors)
-    unit = vectors / np.where((size := np.linalg.norm(vectors, axis=1)) == 0, 1, size)[:, None]
-    s = unit @ unit.T
-    np.fill_diagonal(s, -np.inf)
-    members, alive = [[i] for i in range(n)], np.ones(n, bool)
-    while alive.sum() > 1:
-        i, j = divmod(int(s.argmax()), n)
-        if not s[i, j] > least:
-            break
-        i, j = min(i, j), max(i, j)
-        if len(members[i]) + len(members[j]) > most_size:
-            s[i, j] = s[j, i] = -np.inf
-            continue
-        a, b = len(members[i]), len(members[j])
-        row = (a * s[i] + b * s[j]) / (a + b)
-        s[i], s[:, i] = row, row
-        s[i, i] = -np.inf
-        s[j], s[:, j] = -np.inf, -np.inf
-        members[i] += members[j]
-        alive[j] = False
-    return sorted((sorted(members[i]) for i in range(n) if alive[i]), key=lambda m: m[0])
-
-
-def cluster_blocks(items: DataFrame, least: float = 0.55, most_size: int = 50, most_block: int = 5000) -> DataFrame:
-    """block, item, cluster (its smallest item) by average linkage inside each block. items: block, item, vector.
-
-    The method holds a matrix of a block's pairs, so a block of more than most_block items is an error, never cut.
+    """Merges the most similar two clusters while their mean similarity exceeds `least` and the sum of sizes fits. Lists of
+    rows, each sorted, in order of their first.
+
+    The mean similarity of two clusters is the product of their mean unit vectors, so that no matrix of pairs is held. A
+    merged cluster is never more similar to a third than the nearer of its parts was, nor does it fit where a part did not; so
+    two clusters that are each other's best stay so until they merge, and all such pairs merge in one round. A round seeks
+    new partners only for merged clusters and for those whose partner has merged.
+    """
+    if not len(vectors):
+        return []
+    unit = vectors / np.where((size := np.linalg.norm(vectors, axis=1)) == 0, 1, size)[:, None] + 0.0  # no negative zeros
+    members = _copies(unit, least, most_size)
+    means = np.stack([unit[m].mean(0) for m in members])
+    sizes = np.array([len(m) for m in members])
+    done = []
+    while len(members):
+        best, near = _partners(np.arange(len(members)), means, sizes, least, most_size)
+        full = best < 0
+        # clusters that can take no more leave the table once they are half of it
+        while 2 * full.sum() <= len(full):
+            own = np.flatnonzero(best >= 0)
+            mutual = own[(best[best[own]] == own) & (own < best[own])]
+            if not len(mutual):
+                # equal similarities that rounding has put in a ring: the greatest of all merges
+                mutual = own[[int(near[own].argmax())]]
+            left, right = np.minimum(mutual, best[mutual]), np.maximum(mutual, best[mutual])
+            for i, j in zip(left, right):
+                means[i] = (sizes[i] * means[i] + sizes[j] * means[j]) / (sizes[i] + sizes[j])
+                sizes[i] += sizes[j]
+                members[i] = members[i] + members[j]
+                members[j], sizes[j], best[j] = [], most_size + 1, -1
+            gone = np.concatenate([left, right])
+            seek = np.flatnonzero((np.isin(best, gone) | np.isin(np.arange(len(best)), gone)) & (sizes <= most_size))
+            best[seek], near[seek] = _partners(seek, means, sizes, least, most_size)
+            full = best < 0
+        done += [sorted(m) for m, f in zip(members, full) if f and m]
+        keep = np.flatnonzero(~full)
+        members, means, sizes = [members[i] for i in keep], means[keep], sizes[keep]
+    return sorted(done, key=lambda m: m[0])
+
+
+def cluster_blocks(items: DataFrame, least: float = 0.55, most_size: int = 50) -> DataFrame:
+    """block, item, cluster (its smallest item) by average linkage inside each block, of any size. items: block, item, vector.
+
+    One task holds the vectors of a block and a strip of their similarities.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) > most_block:
-            raise ValueError(f"block {pdf['block'].iloc[0]} has {len(pdf)} items; split it below {most_block}")
         pdf = pdf.sort_values("item", ignore_index=True)
         out = np.zeros(len(pdf), np.int64)
         for m in average_linkage(np.stack(pdf["vector"].to_numpy()).astype(np.float64), least, most_size):

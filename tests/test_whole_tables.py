@@ -202,3 +202,30 @@ def test_length_bound_of_empty_and_missing_names(spark, tmp_path):
     names = ["", "", None, None, "a", "b", "ab", "abcdefghi", "abcdefghij"]
     save(spark, tmp_path, "part", "p_partkey long, p_brand string, p_type string, p_name string", [(k, "x", "y", t) for k, t in enumerate(names)] + [(5, "x", "y", "ab"), (9, None, "y", "a"), (10, "x", "z", "a")])
     assert len(same_as_sql(spark, "similarity_length_bound", tmp_path, "part")) == 4
+
+
+def test_average_linkage_of_a_large_block(spark):
+    import numpy as np
+
+    from strata.operators import grouping
+
+    def greedy(v, least, most_size):
+        size = np.linalg.norm(v, axis=1)
+        s = v @ v.T / np.outer(size, size)
+        parts = [[i] for i in range(len(v))]
+        while True:
+            pairs = [(-round(s[np.ix_(p, q)].mean(), 12), p[0], q[0], p, q) for i, p in enumerate(parts) for q in parts[i + 1 :] if len(p) + len(q) <= most_size]
+            best = min(pairs, default=(-least,))
+            if not -best[0] > least:
+                return parts
+            parts = sorted([p for p in parts if p not in best[3:]] + [sorted(best[3] + best[4])])
+
+    r = np.random.default_rng(7)
+    for least, most_size in ((0.1, 5), (0.3, 40), (-2, 7)):
+        v = r.normal(size=(40, 6))
+        v = np.concatenate([v, v[[3, 3, 3, 8]] + 0])
+        assert grouping.average_linkage(v, least, most_size) == greedy(v, least, most_size)
+    rows = [(1, k, [float(x) for x in r.normal(size=4)]) for k in range(5100)]
+    got = grouping.cluster_blocks(spark.createDataFrame(rows, "block long, item long, vector array<float>"), 0.5, 10).toPandas()
+    assert sorted(got["item"]) == list(range(5100)) and got.groupby("cluster").size().max() == 10
+    assert (got.groupby("cluster")["item"].min() == got.groupby("cluster")["cluster"].min()).all()
