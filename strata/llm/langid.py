@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import held_out, small_batches, texts
 
 ORDER, BITS = 4, 6
-#: Cross-entropies are calibrated on at most so many training texts, those with the smallest hashed ids.
-CALIBRATE_ROWS = 4000
+#: Cross-entropies of all training texts are counted by bins of this width, in which their medians are found.
+BIN = 1 / 4096
 #: Symbols beyond so many add no more to the posterior; a long text is not surer than this.
 EVIDENCE = 120
 #: Standard deviations above a language's mean cross-entropy at which the score is halved.
@@ -182,7 +182,7 @@ def train(docs: DataFrame) -> Models:
     """From all texts with a language that are not held out."""
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("lang", "text", F.xxhash64("doc_id").alias("h"))
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -195,7 +195,7 @@ def train(docs: DataFrame) -> Models:
             yield pa.RecordBatch.from_arrays([pa.DictionaryArray.from_arrays(pa.array((key >> 32).astype(np.int32)), pa.array(names, pa.string())).cast(pa.string()), pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
 
     # at most 64**ORDER n-grams for each language, whatever the corpus
-    counts = rows.select("lang", "text").mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    counts = rows.mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     if not counts.num_rows:
         return Models([], [np.zeros(0, np.int32)] * ORDER, [np.zeros((0, 0), np.float32)] * ORDER, [np.zeros((0, 0), np.float32)] * ORDER, np.zeros(0), np.ones(0))
     encoded = counts.column("lang").combine_chunks().dictionary_encode()
@@ -203,27 +203,38 @@ def train(docs: DataFrame) -> Models:
     languages = sorted(found)
     place = np.array([languages.index(x) for x in found])[encoded.indices.to_numpy()]
     models = estimate(languages, place, counts.column("gram").to_numpy().astype(np.int64), counts.column("n").to_numpy().astype(float))
-    return _calibrated(models, rows.select("lang", "text", "h"), spark)
+    return _calibrated(models, rows, spark)
 
 
-def _calibrated(models: Models, sample: DataFrame, spark) -> Models:  # noqa: ANN001
+def _calibrated(models: Models, rows: DataFrame, spark) -> Models:  # noqa: ANN001
+    """Median and deviation of the cross-entropies of all training texts, language by language; batches send counts by bins."""
     shared = spark.sparkContext.broadcast(models)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place_of = {x: k for k, x in enumerate(shared.value.languages)}
         for b in batches:
             entropy, n, _ = shared.value.entropies(texts(b.column(1)))
-            place = np.array([shared.value.languages.index(x) for x in b.column(0).to_pylist()], np.int64)
+            place = np.array([place_of[x] for x in b.column(0).to_pylist()], np.int64)
             ok = n >= 100
-            yield pa.RecordBatch.from_arrays([pa.array(place[ok].astype(np.int32)), pa.array(entropy[np.arange(len(place)), place][ok])], names=["place", "entropy"])
-
-    # the largest hash that the bound allows, found from ids alone
-    few = sample.select("h").orderBy("h").limit(CALIBRATE_ROWS).agg(F.max("h")).first()[0]
-    rows = sample.where(F.col("h") <= F.lit(few)).select("lang", "text").mapInArrow(measure, "place int, entropy double").limit(CALIBRATE_ROWS).toPandas()
+            if not ok.any():
+                continue
+            place, entropy = place[ok], entropy[np.arange(len(place)), place][ok]
+            key, at = np.unique(np.stack([place, np.floor(entropy / BIN).astype(np.int64)]), axis=1, return_inverse=True)
+            at = at.reshape(-1)
+            tally = [np.bincount(at, w, key.shape[1]) for w in (np.ones(len(at)), entropy, entropy**2)]
+            yield pa.RecordBatch.from_arrays([pa.array(key[0].astype(np.int32)), pa.array(key[1].astype(np.int32)), pa.array(tally[0].astype(np.int64)), *map(pa.array, tally[1:])], names=["place", "bin", "n", "total", "squares"])
+
+    # at most as many rows as there are bins, whatever the corpus
+    found = rows.mapInArrow(measure, "place int, bin int, n long, total double, squares double").groupBy("place", "bin").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("squares").alias("squares")).toPandas()
     mean, deviation = np.full(len(models.languages), np.inf), np.ones(len(models.languages))
     for k in range(len(models.languages)):
-        own = rows["entropy"][rows["place"] == k].to_numpy()
-        mean[k] = np.median(own) if len(own) else 3.0
-        deviation[k] = max(float(np.std(own)) if len(own) > 1 else 0.5, 0.05)
+        own = found[found["place"] == k].sort_values("bin")
+        n = int(own["n"].sum())
+        upto = own["n"].cumsum().to_numpy()
+        middle = [own["bin"].iloc[int(np.searchsorted(upto, r, side="right"))] for r in ((n - 1) // 2, n // 2)] if n else []
+        mean[k] = (np.mean(middle) + 0.5) * BIN if n else 3.0
+        average = own["total"].sum() / max(n, 1)
+        deviation[k] = max(max(own["squares"].sum() / n - average**2, 0.0) ** 0.5 if n > 1 else 0.5, 0.05)
     models.mean, models.deviation = mean, deviation
     return models
 
