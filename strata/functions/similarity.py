@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Keys of one block; two blocks meet in one row, which then lists their pairs.
-BLOCK = 1000
+BLOCK = 200
 
 
 @F.pandas_udf(T.DoubleType())
