@@ -39,7 +39,7 @@ BUSY, BUSIEST, RANKS = 512, 16384, 7
 ROUNDS = 3
 #: The sketch over prefixes tracks so many tokens and reports so many; those with more lines than HEAVY have split buckets.
 TRACKED, REPORTED, HEAVY = 1 << 16, 1024, 1024
-#: Cells of the table that finds a frequent token by its hash.
+#: Cells at most of the table that finds a frequent token by its hash.
 CELLS = 1 << 17
 #: So many lines with the most copies are dealt out once.
 COPIED, COPIES = 16384, 4
@@ -67,32 +67,24 @@ def with_tokens(rows: DataFrame) -> DataFrame:
     return hashed.select(*own, F.sort_array(F.array_distinct(_each_shingle("_words", lambda w: F.shiftrightunsigned(F.xxhash64(*w), 4)))).alias("t"))
 
 
-def _cell(token: Column) -> Column:
-    return token.bitwiseAND(F.lit(CELLS - 1)).cast("int")
+class Frequent:
+    """Frequent tokens as two arrays that the plan holds as values: a token stands in its hash's cell, with its class; of two in
+    a cell the more frequent one. A token that finds no place only stays early in the order."""
 
+    def __init__(self, found: dict[int, int]) -> None:
+        size = min(CELLS, 1 << (8 * len(found)).bit_length())
+        cells, ranks = [0] * size, [0] * size
+        for k, (_, t) in enumerate(sorted((n, t) for t, n in found.items())):
+            cells[t & (size - 1)], ranks[t & (size - 1)] = t, k * RANKS // len(found) + 1
+        listed = lambda x, kind: F.split(F.lit(",".join(map(str, x))), ",").cast(f"array<{kind}>")
+        self.last, self.cells, self.ranks = size - 1, listed(cells, "bigint"), listed(ranks, "int")
 
-def _frequent(spark, found: dict[int, int]) -> DataFrame:  # noqa: ANN001
-    """One stored row (one, cells, ranks): a frequent token stands in its hash's cell, with its class; of two in a cell the
-    more frequent one. A token that finds no place only stays early in the order."""
-    order = ",".join(str(t) for _, t in sorted((n, t) for t, n in found.items()))
-    given = spark.range(0, 1, 1, 1).select(F.posexplode(F.split(F.lit(order), ",")).alias("k", "t")).select("k", F.col("t").cast("long").alias("t"))
-    taken = given.groupBy(_cell(F.col("t")).alias("cell")).agg(F.max(F.struct("k", "t")).alias("x"))
-    rank = F.floor(F.col("x.k") * RANKS / len(found)) + 1
-    every = spark.range(0, CELLS, 1, 1).select(F.col("id").cast("int").alias("cell")).join(F.broadcast(taken), "cell", "left")  # BUSIEST + REPORTED rows at most a round
-    cells = every.agg(F.sort_array(F.collect_list(F.struct("cell", F.coalesce("x.t", F.lit(0)).alias("t"), F.coalesce(rank, F.lit(0)).cast("tinyint").alias("r")))).alias("all"))
-    return stored(cells.select(F.lit(1).alias("one"), F.transform("all", lambda s: s["t"]).alias("cells"), F.transform("all", lambda s: s["r"]).alias("ranks")))
+    def rank(self, token: Column) -> Column:
+        at = token.bitwiseAND(F.lit(self.last)).cast("int")
+        return F.coalesce(F.when(F.get(self.cells, at) == token, F.get(self.ranks, at)), F.lit(0))
 
 
-def _rank(token: Column) -> Column:
-    at = _cell(token)
-    return F.coalesce(F.when(F.get("cells", at) == token, F.get("ranks", at)), F.lit(0))
-
-
-def _with_frequent(rows: DataFrame, frequent: DataFrame) -> DataFrame:
-    return rows.withColumn("one", F.lit(1)).join(F.broadcast(frequent), "one").drop("one")  # one row of at most CELLS entries
-
-
-def prefixes(rows: DataFrame, frequent: DataFrame | None = None) -> DataFrame:
+def prefixes(rows: DataFrame, frequent: Frequent | None = None) -> DataFrame:
     """h, doc_id, at, n (tokens), bits, and prefix: the tokens that a similar line may share as its first one, in order."""
     own = with_tokens(rows.select(*_PLACE, "line"))
     # parities of token counts by the hash's last bits: lines that differ in few tokens differ in few bits
@@ -101,8 +93,7 @@ def prefixes(rows: DataFrame, frequent: DataFrame | None = None) -> DataFrame:
     size = (F.col("n") - F.ceil(F.col("n") * SIMILARITY - 1e-9).cast("int") + 1).cast("int")
     if frequent is None:
         return own.select(*_PLACE, "n", "bits", F.slice("t", F.lit(1), size).alias("prefix"))
-    own = _with_frequent(own, frequent)
-    ranked = F.sort_array(F.transform("t", lambda x: F.struct(_rank(x).alias("rank"), x.alias("x"))))
+    ranked = F.sort_array(F.transform("t", lambda x: F.struct(frequent.rank(x).alias("rank"), x.alias("x"))))
     return own.select(*_PLACE, "n", "bits", F.transform(F.slice(ranked, F.lit(1), size), lambda s: s["x"]).alias("prefix"))
 
 
@@ -119,11 +110,19 @@ def _possible(n: Column, i: Column, bits: Column, m: Column, j: Column, other: C
     return (F.least(n, m) >= F.greatest(n, m) * SIMILARITY - 1e-9) & (F.least(n - i, m - j) >= need) & (F.bit_count(bits.bitwiseXOR(other)) <= n + m - 2 * need)
 
 
+def _those(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose h is in wanted (distinct, stored)."""
+    return maybe_in(rows, wanted, ["h"]).join(wanted, "h").select(*rows.columns)
+
+
 def _lines_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """h, h2, doc_id, at, line of the lines named by wanted (h and doc_id of a text that has it; a stored table), each once,
-    where it stands first among these texts."""
-    docs = maybe_in(docs, stored(wanted.select("doc_id").distinct()), ["doc_id"])  # other texts are not taken apart
-    near = maybe_in(lines(docs).select(*_LINE, "doc_id", "at", "line"), wanted, ["h"]).join(wanted.select("h"), "h", "left_semi")
+    """h, h2, doc_id, at, line of the lines named by wanted (h and the doc_id of the text that has it first; a stored table),
+    each once, at its first place. Its copies in other texts are not moved."""
+    texts = stored(wanted.select("doc_id").distinct())
+    docs = maybe_in(docs, texts, ["doc_id"])  # other texts are not taken apart
+    near = maybe_in(lines(docs).select(*_LINE, "doc_id", "at", "line"), wanted, ["h", "doc_id"])
+    # an inner join (wanted is distinct), as a semi join would be pushed below the bitmap and move all lines
+    near = near.join(wanted.select(F.col("h").alias("_h"), F.col("doc_id").alias("_d")), (F.col("h") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_d")))
     return near.groupBy(*_LINE).agg(F.min(F.struct("doc_id", "at", "line")).alias("x")).select(*_LINE, "x.*")
 
 
@@ -131,15 +130,15 @@ def buckets(p: DataFrame, heavy: dict[int, int]) -> DataFrame:
     """For lines in a bucket with others: token, h, its first place o, n, i, bits, size and rank (of the bucket, or of its part
     if it is heavy), heavy, and partners (g, and e, a doc_id): earlier lines that the filters let through. heavy: tokens whose
     buckets are split. Lines of a small bucket that have no partner there are left out."""
-    flat = p.select(*_PLACE, "n", "bits", F.posexplode("prefix").alias("i", "token"))
     part, me = F.lit(0), F.struct("h", "o", "n", "i", "bits")
     if heavy:
-        flat = _with_frequent(flat, _frequent(p.sparkSession, heavy))
-        part = F.when(_rank(F.col("token")) > 0, F.pmod("h", F.lit(PARTS)) + 1).otherwise(0)
-    flat = flat.withColumn("part", part.cast("int")).drop("cells", "ranks")
+        part = F.when(Frequent(heavy).rank(F.col("token")) > 0, F.pmod("h", F.lit(PARTS)) + 1).otherwise(0)
     # dealt by token and part alone; nearly all rows are alone with their token and drop out first
     w = Window.partitionBy("token", "part")
-    rows = flat.withColumn("a", F.min("h").over(w)).withColumn("z", F.max("h").over(w)).where("a <> z or part > 0")
+    shared = lambda rows: rows.withColumn("part", part.cast("int")).withColumn("a", F.min("h").over(w)).withColumn("z", F.max("h").over(w)).where("a <> z or part > 0")
+    # most lines share no token: they are told by rows of token and hash, before the others are dealt out with all that they have
+    some = stored(shared(p.select("h", F.explode("prefix").alias("token"))).select("h").distinct())
+    rows = shared(maybe_in(p, some, ["h"]).select(*_PLACE, "n", "bits", F.posexplode("prefix").alias("i", "token")))
     rows = rows.groupBy("token", "part", "h").agg(F.min(F.struct("doc_id", "at")).alias("o"), F.min("n").alias("n"), F.min("i").alias("i"), F.min("bits").alias("bits"))
     first = w.orderBy("o", "h")
     rows = rows.withColumn("size", F.count("*").over(w)).withColumn("rank", F.row_number().over(first)).withColumn("first", F.first(me).over(first))
@@ -172,14 +171,16 @@ def _exact(line: str, other: str) -> Column:
         each = F.arrays_zip(*[F.slice(x, k + 1, n).alias(f"w{k}") for k in range(SHINGLE)])
         return F.array_distinct(F.transform(each, lambda s: F.concat_ws(" ", *[s[f"w{k}"] for k in range(SHINGLE)])))
 
-    shared = F.size(F.array_intersect(own(line), own(other)))
-    return shared >= (F.size(own(line)) + F.size(own(other))) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9
+    # shingles are made once a pair: as elements of an array they are values, not expressions that the filter repeats
+    enough = lambda s: F.size(F.array_intersect(s["a"], s["b"])) >= (F.size(s["a"]) + F.size(s["b"])) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9
+    return F.exists(F.array(F.struct(own(line).alias("a"), own(other).alias("b"))), enough)
 
 
-def _similar(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """h, h2 of the lines that are similar to an earlier line by a row of pairs (h, g, and doc_ids d, e), a stored table; stored."""
-    wanted = stored(pairs.select("h", F.col("d").alias("doc_id")).unionByName(pairs.select(F.col("g").alias("h"), F.col("e").alias("doc_id"))).distinct())
-    sets = stored(with_tokens(_lines_of(docs, wanted).select(*_LINE, F.struct("doc_id", "at").alias("o"), "line")))
+def _similar(near_lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """h, h2 of the lines that are similar to an earlier line by a row of pairs (h, g), a stored table; stored. near_lines: h,
+    h2, doc_id, at and line of all lines in pairs."""
+    wanted = stored(pairs.select("h").unionByName(pairs.select(F.col("g").alias("h"))).distinct())
+    sets = stored(with_tokens(_those(near_lines, wanted).select(*_LINE, F.struct("doc_id", "at").alias("o"), "line")))
     names = {"h": "g", "h2": "g2", "o": "p", "line": "other", "t": "u"}
     other = sets.withColumnsRenamed(names)
     shared = F.size(F.array_intersect("t", "u"))
@@ -212,11 +213,15 @@ def later_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     firsts = stored(rows.groupBy(*_LINE).agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("copies")).where("copies > 1"))
     often = stored(firsts.where(F.col("copies") >= COPIES).orderBy(F.desc("copies"), *_LINE).limit(COPIED).select(*_LINE, "first"))
     work = rows.join(F.broadcast(often), _LINE, "left").where(F.col("first").isNull() | (F.struct("doc_id", "at") == F.col("first")))  # COPIED rows at most
-    gone, tried, searching, rest, found = None, None, None, None, {}
+    gone, tried, searching, rest, near_lines, found = None, None, None, None, None, {}
     for k in range(ROUNDS):
-        p = stored(prefixes(work, _frequent(docs.sparkSession, found) if found else None))
+        p = stored(prefixes(work, Frequent(found) if found else None))
         heavy = _sketch(p)
         met = stored(buckets(p, heavy))
+        if near_lines is None:  # later rounds deal out lines of these buckets only
+            named = met.select("h", F.col("o.doc_id").alias("doc_id"))
+            named = named.unionByName(_first_pairs(met).select(F.col("g").alias("h"), F.col("e").alias("doc_id")))
+            near_lines = stored(_lines_of(docs, stored(named.distinct())))
         # all copies of a line share its buckets, so a bucket's order is that of first places: each partner is earlier
         pairs = _first_pairs(met)
         if searching is not None:
@@ -224,7 +229,7 @@ def later_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         pairs = (pairs if rest is None else pairs.unionByName(rest)).dropDuplicates(_PAIR)
         pairs = stored(pairs if tried is None else pairs.join(tried, _PAIR, "left_anti"))
         tried = pairs.select(*_PAIR) if tried is None else tried.unionByName(pairs.select(*_PAIR))
-        now = _similar(docs, pairs)
+        now = _similar(near_lines, pairs)
         gone = now if gone is None else stored(gone.unionByName(now).distinct())
         left = met.where((F.col("rank") > NEAR + 1) | F.col("heavy")).join(gone.select("h"), "h", "left_anti")
         left = stored(left if searching is None else left.join(searching, "h", "left_semi"))
@@ -234,16 +239,16 @@ def later_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             rest = stored(_all_earlier(left, met).dropDuplicates(_PAIR).join(tried, _PAIR, "left_anti"))
             break
         # frequent tokens wait for the next round; the lines of their buckets are dealt out again
-        frequent = _frequent(docs.sparkSession, new)
-        calm = _with_frequent(left, frequent).where(_rank(F.col("token")) == 0)
+        frequent = Frequent(new)
+        calm = left.where(frequent.rank(F.col("token")) == 0)
         rest = stored(_all_earlier(calm, met))
-        again = stored(_with_frequent(met, frequent).where(_rank(F.col("token")) > 0).select("h", "o.doc_id").distinct())
+        again = stored(met.where(frequent.rank(F.col("token")) > 0).select("h").distinct())
         searching = stored(left.select("h").distinct())
-        work = stored(_lines_of(docs, again))
+        work = stored(_those(near_lines, again))
         found = {**found, **new}
         free(p, met, left, again)
     if not rest.isEmpty():
-        gone = stored(gone.unionByName(_similar(docs, rest)).distinct())
+        gone = stored(gone.unionByName(_similar(near_lines, rest)).distinct())
     return firsts, gone
 
 
@@ -257,7 +262,10 @@ def _cut(docs: DataFrame) -> DataFrame:
     free(firsts, gone)
     rows = maybe_in(lines(small).select("key", "doc_id", "at", *_LINE), marks, ["h"]).join(marks, _LINE)
     bad = rows.where(F.coalesce("gone", F.lit(False)) | (F.struct("doc_id", "at") != F.col("first"))).groupBy("doc_id", "key").agg(F.collect_set("at").alias("bad"))
-    out = same_row(keyed.select("row", "doc_id", "key"), bad, "left")
+    bad = stored(bad)
+    marked = maybe_in(keyed.select("row", "doc_id", "key"), bad, ["key"], flag="hit")  # other texts are not moved
+    out = same_row(marked.where("hit").drop("hit"), bad, "left")
+    out = out.select("row", "bad").unionByName(marked.where("not hit").select("row", F.lit(None).cast("array<int>").alias("bad")))
     body = F.col("row").getField("text")
     parts = F.split(body, "\n")
     kept = F.filter(parts, lambda x, i: ~F.array_contains("bad", i))

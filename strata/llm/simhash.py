@@ -33,6 +33,8 @@ SHINGLE, SEED, DISTANCE = 3, 42, 2
 GROUP_MOST = 1024
 #: Rows that a worker gathers before it builds an index over their groups.
 _ROWS = 1 << 16
+#: Bits of a set's parity: each counts the tokens that fall on it, modulo 2.
+PARITY = 512
 #: Pairs of nodes that a worker compares at once.
 _PAIRS = 1 << 20
 
@@ -237,8 +239,15 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     return marked.join(classes, "fp").select("doc_id", "key", "fp", F.col("root.fp").alias("root"), F.col("root.least").alias("component_id"))
 
 
+def parity(found: np.ndarray) -> np.ndarray:
+    """PARITY / 64 longs. Two sets differ in at least as many tokens as their parities in bits."""
+    odd = np.bincount((found % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(docs: DataFrame, shingle: int, whole: bool) -> DataFrame:
-    """doc_id, key, vertex (hash of the set of tokens), n, its size, fp, its fingerprint, and the bands, or the tokens if whole."""
+    """doc_id, key, vertex (hash of the set of tokens), n, its size, fp, its fingerprint, parity, and the bands, or the tokens if whole
+    (and then no fingerprint and no parity)."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,14 +257,16 @@ def _sets(docs: DataFrame, shingle: int, whole: bool) -> DataFrame:
             sets = [minhash.tokens(raw[offsets[i] : offsets[i + 1]], shingle, SEED) for i in range(b.num_rows)]
             vertex = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
             fp = np.array([0 if whole else majority(s) for s in sets], np.uint64).view(np.int64)
+            odd = np.concatenate([np.zeros(0, np.int64), *([] if whole else map(parity, sets))])
+            odd = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * (0 if whole else PARITY // 64)), pa.array(odd))
             out = [(s if whole else minhash.bands(s)).view(np.int64) for s in sets]
             ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *out])))
-            columns = [b.column("doc_id"), b.column("key"), pa.array(vertex), pa.array([len(s) for s in sets], pa.int32()), pa.array(fp), lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "vertex", "n", "fp", "hashes"])
+            columns = [b.column("doc_id"), b.column("key"), pa.array(vertex), pa.array([len(s) for s in sets], pa.int32()), pa.array(fp), odd, lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "vertex", "n", "fp", "parity", "hashes"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "key", "text").mapInArrow(run, f"doc_id {kind}, key long, vertex long, n int, fp long, hashes array<long>")
+    return docs.select("doc_id", "key", "text").mapInArrow(run, f"doc_id {kind}, key long, vertex long, n int, fp long, parity array<long>, hashes array<long>")
 
 
 def _similar(docs: DataFrame, keys: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -278,11 +289,11 @@ def similar_groups(docs: DataFrame, shingle: int, similarity: float, distance: i
     First the Gray-order index links fingerprints within the distance. A 64-bit fingerprint misses most pairs just above 0.8,
     so bands of minima bring more candidates: each vertex meets the smallest one of its bands that is in another group, and
     where a band still holds several groups, those outside its largest one meet all of it that are in other groups than
-    theirs. So a large group of near copies costs a check or two a member, and no link between groups is left out.
+    theirs and whose sizes and parities leave the similarity possible. So a large group of near copies costs a check or two a member, and no link between groups is left out.
     """
     keyed = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
     marked = stored(_sets(keyed, shingle, False))
-    vertices = stored(marked.groupBy("vertex").agg(F.min("key").alias("key"), F.min("n").alias("n"), F.min("fp").alias("fp"), F.first("hashes").alias("hashes")))
+    vertices = stored(marked.groupBy("vertex").agg(F.min("key").alias("key"), F.min("n").alias("n"), F.min("fp").alias("fp"), F.first("parity").alias("parity"), F.first("hashes").alias("hashes")))
     keys = vertices.select("vertex", "key")
     near = lambda n, m: F.least(n, m) >= F.greatest(n, m) * similarity - 1e-9
 
@@ -312,8 +323,14 @@ def similar_groups(docs: DataFrame, shingle: int, similarity: float, distance: i
     grouped = stored(rows.join(stored(named(found)), "vertex"))
     most = grouped.groupBy("band", "root").agg(F.count("*").alias("k")).groupBy("band").agg(F.count("*").alias("groups"), F.max(F.struct("k", "root")).alias("most"))
     open_ = stored(grouped.join(most.where("groups > 1").select("band", F.col("most.root").alias("big")), "band"))
-    other = open_.select("band", F.col("vertex").alias("w"), F.col("n").alias("m"), F.col("root").alias("side"))
-    met = open_.where("root <> big").join(other, "band").where((F.col("root") != F.col("side")) & near(F.col("n"), F.col("m")))
+    # a band also gathers less similar sets: as many of their parities' bits differ as tokens may, or the pair drops within the join
+    bits = vertices.join(open_.select("vertex").distinct(), "vertex").select("vertex", *[F.get("parity", F.lit(k)).alias(f"p{k}") for k in range(PARITY // 64)])
+    open_ = stored(open_.join(bits, "vertex"))
+    other = open_.select("band", F.col("vertex").alias("w"), F.col("n").alias("m"), F.col("root").alias("side"), *[F.col(f"p{k}").alias(f"q{k}") for k in range(PARITY // 64)])
+    size = F.col("n") + F.col("m")
+    apart = sum((F.bit_count(F.col(f"p{k}").bitwiseXOR(F.col(f"q{k}"))) for k in range(PARITY // 64)), F.lit(0))
+    close = apart <= size - 2 * F.ceil(size * (similarity / (1 + similarity)) - 1e-9)
+    met = open_.where("root <> big").join(other, "band").where((F.col("root") != F.col("side")) & near(F.col("n"), F.col("m")) & close)
     met = stored(ordered(met.select(F.col("vertex").alias("u"), F.col("w").alias("v"))).join(tried, ["u", "v"], "left_anti"))
     if not met.isEmpty():
         found = found.unionByName(_similar(keyed, keys, met, shingle, similarity))
